@@ -260,9 +260,10 @@ def strong_pairs(matrix: DataFrame, columns: Sequence[str], threshold: float) ->
 
 
 def top_correlations(matrix: DataFrame, k: int = 3) -> DataFrame:
-    """The k strongest off-diagonal entries, both directions listed, ties by name."""
+    """The k strongest off-diagonal entries, both directions listed; entries that agree to
+    twelve digits are ties and go by name."""
     off = matrix.filter(F.col("variable_1") != F.col("variable_2"))
-    return off.orderBy(F.desc(F.abs("correlation")), "variable_1", "variable_2").limit(k)
+    return off.orderBy(F.desc(F.round(F.abs("correlation"), 12)), "variable_1", "variable_2").limit(k)
 
 
 def fitted_lines(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

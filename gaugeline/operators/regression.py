@@ -16,12 +16,12 @@ from pyspark.ml.regression import (
     RandomForestRegressor,
 )
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gaugeline.operators.dimensions import join_dimension
-from gaugeline.operators.frames import beside
+from gaugeline.operators.frames import beside, shuffle_partitions
 from gaugeline.operators.profile import count_to_reach, cumulative_share
 from gaugeline.operators.quantiles import quantiles
 from gaugeline.schema import MODEL_FEATURES, TARGET
@@ -45,10 +45,9 @@ def target_summary(frame: DataFrame) -> DataFrame:
 
 def impute_means(frame: DataFrame, fitted_on: DataFrame | None = None, columns: Sequence[str] = MODEL_FEATURES) -> DataFrame:
     """Replace NULLs by column means, taken from ``fitted_on`` (the training part; by default
-    the frame itself). The means are one row and stay inside the plan."""
-    means = (frame if fitted_on is None else fitted_on).agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
-    filled = {c: F.coalesce(F.col(c), F.col(f"_mean_{c}")) for c in columns}
-    return beside(frame, means).withColumns(filled).drop(*[f"_mean_{c}" for c in columns])
+    the frame itself). As when MLlib fits a transformer, one row of means comes back."""
+    means = (frame if fitted_on is None else fitted_on).agg(*[F.avg(c).alias(c) for c in columns]).first().asDict()
+    return frame.na.fill({c: m for c, m in means.items() if m is not None})
 
 
 def split_by_time(frame: DataFrame, share: float = 0.8, day: str = "date") -> DataFrame:
@@ -73,14 +72,10 @@ def split_summary(split: DataFrame, day: str = "date") -> DataFrame:
 def standardise(frame: DataFrame, fitted_on: DataFrame, columns: Sequence[str] = MODEL_FEATURES) -> DataFrame:
     """(x - mean) / population sd of the training part; a constant column becomes zero."""
     row = fitted_on.agg(
-        *[F.avg(c).alias(f"_m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"_s_{c}") for c in columns]
-    )
-
-    def scaled(c: str) -> Column:
-        sd = F.col(f"_s_{c}")
-        return (F.col(c) - F.col(f"_m_{c}")) / F.when(sd > 0, sd).otherwise(1.0)
-
-    return beside(frame, row).withColumns({c: scaled(c) for c in columns}).drop(*row.columns)
+        *[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]
+    ).first()
+    scaled = {c: f"(`{c}` - {row[f'm_{c}'] or 0.0!r}D) / {row[f's_{c}'] or 1.0!r}D as `{c}`" for c in columns}
+    return frame.selectExpr(*[scaled.get(c, f"`{c}`") for c in frame.columns])
 
 
 def assemble(frame: DataFrame, columns: Sequence[str] = MODEL_FEATURES) -> DataFrame:
@@ -88,6 +83,14 @@ def assemble(frame: DataFrame, columns: Sequence[str] = MODEL_FEATURES) -> DataF
     return vectors.transform(frame).select(*[c for c in frame.columns if c not in columns], "features")
 
 
+def training_set(frame: DataFrame, columns: Sequence[str] = MODEL_FEATURES) -> DataFrame:
+    """Assembled rows spread over the cluster's cores. Tree learners pass over their input once
+    per level, so a compact mart must not leave them on the few tasks its files amount to."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    parts = max(cores, shuffle_partitions(frame))
+    return assemble(frame.repartition(parts, "location_name", "date"), columns)
+
+
 # -- models ------------------------------------------------------------------------------------
 
 
@@ -97,16 +100,20 @@ def least_squares() -> LinearRegression:
 
 def penalised(label_sd: float, l1: float, l2: float) -> LinearRegression:
     """Least squares with the penalties of 1/(2n) RSS + l1 |w| + l2/2 |w|^2 on inputs that are
-    already standardised. MLlib divides the label by its sample sd while it fits, which leaves
-    an L1 weight as it is and divides an L2 weight by that sd."""
+    already standardised.
+
+    MLlib divides the label by its population sd while it fits, which leaves an L1 weight as it
+    is and divides an L2 weight by that sd. The normal solver reads the data once, whatever the
+    penalty, and iterates on the moments only.
+    """
     reg = l1 + l2 * label_sd
     return LinearRegression(
-        solver="l-bfgs", standardization=False, regParam=reg, elasticNetParam=l1 / reg if reg else 0.0, maxIter=1000, tol=1e-10
+        solver="normal", standardization=False, regParam=reg, elasticNetParam=l1 / reg if reg else 0.0, maxIter=2000, tol=1e-12
     )
 
 
 def label_scale(train: DataFrame) -> tuple[float, int]:
-    row = train.agg(F.stddev_samp("label").alias("s"), F.count("label").alias("n")).first()
+    row = train.agg(F.stddev_pop("label").alias("s"), F.count("label").alias("n")).first()
     return row["s"], row["n"]
 
 

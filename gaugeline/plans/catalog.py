@@ -1086,7 +1086,7 @@ def _split(spark, sf, scaled: bool = False):
 
 def _scored(spark, sf, make, scaled: bool = False):
     train, test = _split(spark, sf, scaled)
-    model = make(train).fit(rg.assemble(train))
+    model = make(train).fit(rg.training_set(train))
     return model.transform(rg.assemble(test))
 
 
@@ -1182,9 +1182,9 @@ def _(spark, sf):
         "Linear Regression": rg.least_squares(), "Ridge Regression": rg.ridge(*scale),
         "Lasso Regression": rg.lasso(*scale), "ElasticNet": rg.elastic_net(*scale),
     }
-    inputs, held_out = rg.assemble(train), rg.assemble(test)
+    inputs, held_out = rg.training_set(train), rg.assemble(test)
     scores = {name: rg.metrics(model.fit(inputs).transform(held_out)) for name, model in fitted.items()}
-    tree = rg.decision_tree().fit(rg.assemble(raw_train))
+    tree = rg.decision_tree().fit(rg.training_set(raw_train))
     scores["Decision Tree"] = rg.metrics(tree.transform(rg.assemble(raw_test)))
     scores["Mean Baseline"] = rg.metrics(rg.mean_baseline(raw_train, raw_test))
     scores["Last Value Baseline"] = rg.metrics(rg.last_value_baseline(raw_test))
@@ -1204,7 +1204,7 @@ def _(spark, sf):
 @query("K16_feature_importance")
 def _(spark, sf):
     train, _ = _split(spark, sf)
-    model = rg.random_forest(trees=20, depth=8).fit(rg.assemble(train))
+    model = rg.random_forest(trees=20, depth=8).fit(rg.training_set(train))
     return rg.importances(spark, model)
 
 
@@ -1230,7 +1230,7 @@ def _(spark, sf):
 def _(spark, sf):
     train, _ = _split(spark, sf)
     models = {"Linear Regression": rg.least_squares(), "Random Forest": rg.random_forest(trees=10, depth=6)}
-    return rg.cv_summary(rg.expanding_cv(rg.assemble(train), models))
+    return rg.cv_summary(rg.expanding_cv(rg.training_set(train), models))
 
 
 @query("K19_grid_search")
@@ -1238,7 +1238,7 @@ def _(spark, sf):
     train, _ = _split(spark, sf)
     forest = rg.random_forest(trees=10, depth=5)
     grid = rg.forest_grid(forest, trees=(5, 10), depth=(4, 6), min_split=(10, 20), min_leaf=(1,))
-    return rg.grid_scores(spark, rg.grid_search(rg.assemble(train), forest, grid))
+    return rg.grid_scores(spark, rg.grid_search(rg.training_set(train), forest, grid))
 
 
 @query("K20_stored_pipeline")

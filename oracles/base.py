@@ -160,8 +160,8 @@ CTES["orders_daily"] = """
 select o_orderpriority as location_name, cast(o_orderdate as date) as date, sum(o_totalprice) as total_price,
   avg(o_totalprice) as avg_price, count(*) as orders from orders group by all"""
 CTES["parted"] = """
-select *, if(datediff('day', date '1970-01-01', date) < at, 'train', 'test') as split
-from lfeatures, (select quantile_cont(cast(datediff('day', date '1970-01-01', date) as double), 0.8) as at from lfeatures)"""
+select *, if(datediff('day', date '1970-01-01', date) < cut, 'train', 'test') as split
+from lfeatures, (select quantile_cont(cast(datediff('day', date '1970-01-01', date) as double), 0.8) as cut from lfeatures)"""
 
 
 def needed(text: str) -> list[str]:

@@ -422,14 +422,14 @@ RANKED = "select {by} as g, rank() over (order by {v}) + (count(*) over (partiti
 TIES = "(select sum(cast(t * t * t - t as double)) as ties, cast(sum(t) as double) as n from (select cast(count(*) as double) as t from ldaily where {v} is not null group by {v}))"
 add("J06_mann_whitney", "u f, z f, p_value f",
     f"""select u, z, {p_normal('z')} as p_value from (select u, (greatest(u, n1 * n2 - u) - n1 * n2 / 2 - 0.5e0) / sqrt(n1 * n2 / 12 * (n + 1 - ties / (n * (n - 1)))) as z
-    from (select sum(r) filter (g = 'Dry Season') - n1 * (n1 + 1) / 2 as u, cast(count(*) filter (g = 'Dry Season') as double) as n1,
-    cast(count(*) filter (g = 'Rainy Season') as double) as n2 from ({RANKED.format(by='season', v='avg_wind_speed')})), {TIES.format(v='avg_wind_speed')})""")
+    from (select rs - n1 * (n1 + 1) / 2 as u, n1, n2 from (select sum(r) filter (g = 'Dry Season') as rs, cast(count(*) filter (g = 'Dry Season') as double) as n1,
+    cast(count(*) filter (g = 'Rainy Season') as double) as n2 from ({RANKED.format(by='season', v='avg_wind_speed')}))), {TIES.format(v='avg_wind_speed')})""")
 add("J07_cohens_d", "d f, effect",
     f"""select d, if(abs(d) < 0.2, 'Small', if(abs(d) < 0.5, 'Medium', 'Large')) as effect from
     (select (m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2)) as d from ({TWO.format(v='avg_temperature')}))""")
 add("J08_anova", "f f, df_between f, df_within f, p_value f",
     f"select *, pow(1 + 2 * f / df_within, -df_within / 2) as p_value from ({anova_sql('from ldaily', 'avg_temperature', 'location_name')})")
-add("J09_kruskal", "h f, df i, p_value f",
+add("J09_kruskal", "h f, df f, p_value f",
     f"""select h, 2 as df, exp(-h / 2) as p_value from (select (12 / (n * (n + 1)) * s - 3 * (n + 1)) / (1 - ties / (n * n * n - n)) as h
     from (select sum(rs * rs / c) as s from (select g, sum(r) as rs, count(*) as c from ({RANKED.format(by='location_name', v='avg_temperature')}) group by g)), {TIES.format(v='avg_temperature')})""")
 add("J10_tukey_differences", "group1, group2, mean_diff f",
@@ -442,7 +442,7 @@ add("J11_proportion_test", "x1 i, n1 i, x2 i, n2 i, z f, p_value f",
 add("J12_pearson", "variable_1, variable_2, n i, r f, p_value f, significant, strength",
     f"""select *, {p_t('t', '(n - 2)')} as p_value, if({p_t('t', '(n - 2)')} < 0.05, 'Yes', 'No') as significant,
     if(abs(r) < 0.3, 'Weak', if(abs(r) < 0.7, 'Moderate', 'Strong')) as strength from (select *, r * sqrt((n - 2) / (1 - r * r)) as t from ("""
-    + " union all ".join(f"select '{x}' as variable_1, '{y}' as variable_2, regr_count({x}, {y}) as n, corr({x}, {y}) as r from ldaily" for x, y in PAIRS) + "))")
+    + " union all ".join(f"select '{x}' as variable_1, '{y}' as variable_2, cast(regr_count({x}, {y}) as double) as n, corr({x}, {y}) as r from ldaily" for x, y in PAIRS) + "))")
 add("J13_spearman", "variable_1, variable_2, n i, rho f, p_value f",
     f"select *, {p_t('rho * sqrt((n - 2) / (1 - rho * rho))', '(n - 2)')} as p_value from ("
     + " union all ".join(
