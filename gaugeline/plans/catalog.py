@@ -1069,6 +1069,8 @@ def _(spark, sf):
 
 
 # -- K: regression -----------------------------------------------------------------------------
+# The ensembles' defaults are 100 trees of depth 15 and 100 boosting rounds. Here they are
+# smaller, on all rows, so that a run over the whole catalog stays short.
 
 
 def _frame(spark, sf):
@@ -1159,12 +1161,12 @@ def _(spark, sf):
 
 @query("K12_random_forest")
 def _(spark, sf):
-    return rg.metrics(_scored(spark, sf, lambda train: rg.random_forest()))
+    return rg.metrics(_scored(spark, sf, lambda train: rg.random_forest(trees=20, depth=10)))
 
 
 @query("K13_gradient_boosting")
 def _(spark, sf):
-    return rg.metrics(_scored(spark, sf, lambda train: rg.gradient_boosting()))
+    return rg.metrics(_scored(spark, sf, lambda train: rg.gradient_boosting(rounds=20)))
 
 
 @query("K14_metrics_by_site")

@@ -11,6 +11,7 @@ from gaugeline.session import new_path, written
 
 MODES = {"append": "append", "replace": "overwrite", "fail": "error"}
 RESULT_ROWS = 1_000_000
+LISTED_DAYS = 1_000
 
 
 def save_table(df: DataFrame, path: str, if_exists: str = "append", partition_by: Sequence[str] = ()) -> None:
@@ -40,21 +41,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def on_days_of(target: DataFrame, batch: DataFrame, day: str) -> DataFrame:
+    """The rows of ``target`` on the days that occur in ``batch``: a constant filter, so a
+    target partitioned by day lists and reads only those partitions. A batch with very many
+    days is covered by its first and last one."""
+    days = [r[0] for r in batch.select(day).distinct().limit(LISTED_DAYS + 1).collect()]
+    if len(days) <= LISTED_DAYS:
+        return target.filter(F.col(day).isin(days)) if days else target.limit(0)
+    first, last = batch.agg(F.min(day), F.max(day)).first()
+    return target.filter(F.col(day).between(F.lit(first), F.lit(last)))
+
+
 def new_rows(batch: DataFrame, target: DataFrame, key: Sequence[str] = ("record_id",), day: str | None = "date") -> DataFrame:
-    """The rows of ``batch`` whose key the target lacks, one per key.
-
-    With ``day`` only the target's days that occur in the batch are read: on a target
-    partitioned by day this prunes partitions when the plan runs. A batch covers at most a
-    calendar's worth of days, so that list may be broadcast.
-    """
-    fresh = batch.dropDuplicates(list(key))
-    known = target
-    match = list(key)
-    if day is not None:
-        days = F.broadcast(batch.select(day).distinct())
-        known = target.join(days, day, "left_semi")
-        match = [day, *key]
-    return fresh.join(known.select(*match), match, "left_anti")
+    """The rows of ``batch`` whose key the target lacks, one per key. With ``day`` only the
+    target's days that occur in the batch are read; a key is then looked up on its own day."""
+    match = list(key) if day is None else [day, *key]
+    known = target if day is None else on_days_of(target, batch, day)
+    return batch.dropDuplicates(list(key)).join(known.select(*match), match, "left_anti")
 
 
 def append_new(
