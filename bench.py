@@ -39,7 +39,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
         "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__ui__enabled="false",
-        spark__driver__memory="16g", spark__ui__showConsoleProgress="false",
+        spark__driver__memory="16g",
+        spark__python__sql__dataFrameDebugging__enabled="false", spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["D01_daily_rollup"](spark, sf_dir).collect()  # warm the JVM

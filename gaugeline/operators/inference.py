@@ -344,13 +344,11 @@ def with_t_probability(df: DataFrame, r: str, n: str = "n") -> DataFrame:
 
 
 def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    rows = [ranks.spearman(df, x, y).select(F.lit(x).alias("variable_1"), F.lit(y).alias("variable_2"), "n", "rho") for x, y in pairs]
-    return with_t_probability(union_all(rows), "rho")
+    return with_t_probability(ranks.spearman(df, pairs), "rho")
 
 
 def kendall(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    rows = [ranks.kendall(df, x, y).select(F.lit(x).alias("variable_1"), F.lit(y).alias("variable_2"), "n", "tau", "z") for x, y in pairs]
-    return union_all(rows).withColumn("p_value", cdf.p_normal("z"))
+    return ranks.kendall(df, pairs).withColumn("p_value", cdf.p_normal("z"))
 
 
 def _margins(df: DataFrame, a: str, b: str) -> tuple[DataFrame, DataFrame, DataFrame]:

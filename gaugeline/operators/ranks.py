@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.operators.frames import beside, prefix_sums
+from gaugeline.session import written
 
 
 def average_ranks(counts: DataFrame, value: str = "value", count: str = "n", group: Sequence[str] = ()) -> DataFrame:
@@ -33,10 +34,11 @@ def value_ranks(df: DataFrame, column: str, group: Sequence[str] = ()) -> DataFr
 def rank_sums(df: DataFrame, column: str, by: str) -> DataFrame:
     """Per sample ``by``: its size, its rank sum in the pooled data, and (the same on every
     row) the pooled size and tie term sum(t^3 - t)."""
-    cells = (
+    cells = written(
         df.filter(F.col(column).isNotNull() & F.col(by).isNotNull())
         .groupBy(F.col(column).alias("value"), F.col(by).alias("sample"))
-        .agg(F.count(F.lit(1)).alias("c"))
+        .agg(F.count(F.lit(1)).alias("c")),
+        "cells",
     )
     ranked = average_ranks(cells.groupBy("value").agg(F.sum("c").alias("n")))
     t = F.col("n").cast("double")
@@ -49,100 +51,105 @@ def rank_sums(df: DataFrame, column: str, by: str) -> DataFrame:
     return beside(sums, pooled)
 
 
-def pair_cells(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Counts of the distinct complete (x, y) pairs."""
-    return (
-        df.dropna(subset=[x, y])
-        .groupBy(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
+# -- several pairs of columns at once ----------------------------------------------------------
+
+
+def pair_cells(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(pair, x, y, c): counts of the distinct complete value pairs, ``pair`` being the place in
+    ``pairs``. One pass over the data, written out because every statistic reads it repeatedly."""
+    rows = ", ".join(f"{i}, cast(`{x}` as double), cast(`{y}` as double)" for i, (x, y) in enumerate(pairs))
+    long = df.selectExpr(f"stack({len(pairs)}, {rows}) as (pair, x, y)").dropna()
+    return written(long.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("c")), "cells")
+
+
+def with_names(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Replace ``pair`` by variable_1 and variable_2."""
+
+    def pick(place: int):
+        return F.element_at(F.array(*[F.lit(p[place]) for p in pairs]), F.col("pair") + 1)
+
+    return df.select(pick(0).alias("variable_1"), pick(1).alias("variable_2"), *[c for c in df.columns if c != "pair"])
 
 
 def _axis_ranks(cells: DataFrame, axis: str) -> DataFrame:
-    counts = cells.groupBy(F.col(axis).alias("value")).agg(F.sum("c").alias("n"))
-    return average_ranks(counts).select(F.col("value").alias(axis), F.col("rank").alias(f"rank_{axis}"))
+    counts = cells.groupBy("pair", F.col(axis).alias("value")).agg(F.sum("c").alias("n"))
+    ranked = average_ranks(counts, group=["pair"])
+    return ranked.select("pair", F.col("value").alias(axis), F.col("rank").alias(f"rank_{axis}"))
 
 
-def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
-    """One row: n and rho (Pearson correlation of average ranks)."""
-    cells = pair_cells(df, x, y)
-    ranked = cells.join(_axis_ranks(cells, "x"), "x").join(_axis_ranks(cells, "y"), "y")
+def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(variable_1, variable_2, n, rho): Pearson correlation of average ranks.
+
+    A value that very many cells share makes a large join key; such a partition is split at run
+    time, as the side of the ranks holds each value once.
+    """
+    cells = pair_cells(df, pairs)
+    ranked = cells.join(_axis_ranks(cells, "x"), ["pair", "x"]).join(_axis_ranks(cells, "y"), ["pair", "y"])
     c, rx, ry = F.col("c"), F.col("rank_x"), F.col("rank_y")
-    sums = ranked.agg(F.sum("c").alias("n"), *[
-        F.sum(c * e).alias(name)
-        for name, e in {"sx": rx, "sy": ry, "sxx": rx * rx, "syy": ry * ry, "sxy": rx * ry}.items()
-    ])
-    n = F.col("n").cast("double")
-    return sums.select(
-        "n",
-        (
-            (n * F.col("sxy") - F.col("sx") * F.col("sy"))
-            / F.sqrt((n * F.col("sxx") - F.col("sx") ** 2) * (n * F.col("syy") - F.col("sy") ** 2))
-        ).alias("rho"),
+    products = {"sx": rx, "sy": ry, "sxx": rx * rx, "syy": ry * ry, "sxy": rx * ry}
+    sums = ranked.groupBy("pair").agg(
+        F.sum("c").alias("n"), *[F.sum(c * product).alias(name) for name, product in products.items()]
     )
+    rho = F.expr("(n * sxy - sx * sy) / sqrt((n * sxx - sx * sx) * (n * syy - sy * sy))")
+    return with_names(sums.select("pair", "n", rho.alias("rho")), pairs)
 
 
 def concordant_pairs(cells: DataFrame) -> DataFrame:
-    """One row: the number of pairs ordered the same way on x and on y.
+    """(pair, concordant): how many pairs of rows are ordered the same way on x and on y.
 
     Distinct x values are numbered; two different numbers first differ at exactly one binary
     digit. For each digit, cells that agree on all higher digits form a block, and every cell
     with digit 1 is concordant with the block's digit-0 cells of smaller y: a prefix sum over y.
     The data grows by the number of digits (log2 of the distinct x), not by the pairs.
     """
-    xs = cells.select("x").distinct().withColumn("_one", F.lit(1).cast("long"))
-    numbered = prefix_sums(xs, ["x"], "_one", "ix").select("x", "ix")
-    top = numbered.agg(F.max("ix").alias("m")).first()["m"]
+    xs = cells.select("pair", "x").distinct().withColumn("_one", F.lit(1).cast("long"))
+    numbered = prefix_sums(xs, ["x"], "_one", "ix", ["pair"]).select("pair", "x", "ix")
+    top = numbered.agg(F.max("ix")).first()[0]
     digits = max(1, int(top or 0).bit_length())
     spread = (
-        cells.join(numbered, "x")
+        cells.join(numbered, ["pair", "x"])
         .withColumn("digit", F.explode(F.sequence(F.lit(0), F.lit(digits - 1))))
-        .select(
+        .selectExpr(
+            "pair",
             "digit",
-            F.expr("shiftright(ix, digit + 1)").alias("block"),
-            F.when(F.expr("shiftright(ix, digit) % 2 = 1"), F.col("c")).otherwise(0).alias("upper"),
-            F.when(F.expr("shiftright(ix, digit) % 2 = 0"), F.col("c")).otherwise(0).alias("lower"),
+            "shiftright(ix, digit + 1) as block",
             "y",
+            "if(shiftright(ix, digit) % 2 = 1, c, 0) as upper",
+            "if(shiftright(ix, digit) % 2 = 0, c, 0) as lower",
         )
-        .groupBy("digit", "block", "y")
+        .groupBy("pair", "digit", "block", "y")
         .agg(F.sum("upper").alias("upper"), F.sum("lower").alias("lower"))
     )
-    placed = prefix_sums(spread, ["y"], "lower", "smaller", ["digit", "block"])
-    return placed.agg(F.coalesce(F.sum(F.col("upper") * F.col("smaller")), F.lit(0)).alias("concordant"))
+    placed = prefix_sums(spread, ["y"], "lower", "smaller", ["pair", "digit", "block"])
+    return placed.groupBy("pair").agg(F.sum(F.col("upper") * F.col("smaller")).alias("concordant"))
 
 
 def _tie_terms(cells: DataFrame, axis: str) -> DataFrame:
-    t = F.col("t").cast("double")
-    return (
-        cells.groupBy(axis)
-        .agg(F.sum("c").alias("t"))
-        .agg(
-            F.sum(t * (t - 1) / 2).alias(f"ties_{axis}"),
-            F.sum(t * (t - 1) * (t - 2)).alias(f"ties3_{axis}"),
-            F.sum(t * (t - 1) * (2 * t + 5)).alias(f"ties5_{axis}"),
-        )
+    totals = cells.groupBy("pair", axis).agg(F.sum("c").cast("double").alias("t"))
+    return totals.groupBy("pair").agg(
+        F.expr("sum(t * (t - 1) / 2)").alias(f"ties_{axis}"),
+        F.expr("sum(t * (t - 1) * (t - 2))").alias(f"ties3_{axis}"),
+        F.expr("sum(t * (t - 1) * (2 * t + 5))").alias(f"ties5_{axis}"),
     )
 
 
-def kendall(df: DataFrame, x: str, y: str) -> DataFrame:
-    """One row: n, tau-b and the tie-corrected normal score z of concordant minus discordant."""
-    cells = pair_cells(df, x, y)
-    c = F.col("c").cast("double")
-    both = cells.agg(F.sum("c").alias("n"), F.sum(c * (c - 1) / 2).alias("ties_xy"))
-    row = beside(both, _tie_terms(cells, "x"), _tie_terms(cells, "y"), concordant_pairs(cells))
-    n = F.col("n").cast("double")
-    pairs = n * (n - 1) / 2
-    tx, ty, txy = F.col("ties_x"), F.col("ties_y"), F.col("ties_xy")
-    agree = F.col("concordant").cast("double")
-    balance = 2 * agree - (pairs - tx - ty + txy)
-    m = n * (n - 1)
-    variance = (
-        (m * (2 * n + 5) - F.col("ties5_x") - F.col("ties5_y")) / 18.0
-        + 2.0 * tx * ty / m
-        + F.col("ties3_x") * F.col("ties3_y") / (9.0 * m * (n - 2))
+def kendall(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(variable_1, variable_2, n, tau, z): tau-b and the tie-corrected normal score of
+    concordant minus discordant pairs."""
+    cells = pair_cells(df, pairs)
+    row = cells.groupBy("pair").agg(
+        F.sum("c").alias("rows"), F.expr("sum(cast(c as double) * (c - 1) / 2)").alias("ties_xy")
+    )
+    for part in (_tie_terms(cells, "x"), _tie_terms(cells, "y"), concordant_pairs(cells)):
+        row = row.join(part, "pair")  # a row per pair of columns
+    scored = (
+        row.withColumn("n", F.col("rows").cast("double"))
+        .withColumn("m", F.expr("n * (n - 1)"))
+        .withColumn("balance", F.expr("2D * concordant - (m / 2 - ties_x - ties_y + ties_xy)"))
     )
-    return row.select(
-        "n",
-        (balance / F.sqrt((pairs - tx) * (pairs - ty))).alias("tau"),
-        (balance / F.sqrt(variance)).alias("z"),
+    tau = F.expr("balance / sqrt((m / 2 - ties_x) * (m / 2 - ties_y))")
+    variance = (
+        "(m * (2 * n + 5) - ties5_x - ties5_y) / 18 + 2 * ties_x * ties_y / m + ties3_x * ties3_y / (9 * m * (n - 2))"
     )
+    z = F.expr(f"balance / sqrt({variance})")
+    return with_names(scored.select("pair", F.col("rows").alias("n"), tau.alias("tau"), z.alias("z")), pairs)

@@ -65,6 +65,17 @@ def query(name: str, digits: int = 6):
     return register
 
 
+def mart(spark, sf, *columns: str) -> DataFrame:
+    """The long daily mart as a written table, for queries that read it more than once."""
+    daily = fx.long_daily(spark, sf)
+    return written(daily.select(*columns) if columns else daily, "daily")
+
+
+def feature_mart(spark, sf, *columns: str) -> DataFrame:
+    features = fx.long_features(spark, sf)
+    return written(features.select("location_name", "date", "avg_temperature", *columns) if columns else features, "features")
+
+
 # -- A: sources and sinks ----------------------------------------------------------------------
 
 SENSOR_TEXT = T.StructType([
@@ -219,7 +230,7 @@ def _(spark, sf):
 @query("A14_performance_store")
 def _(spark, sf):
     path = tables.scratch(spark, "performance")
-    frame = rg.last_value_baseline(rg.model_frame(fx.long_features(spark, sf), ("temp_lag_1d",)))
+    frame = rg.last_value_baseline(rg.model_frame(feature_mart(spark, sf, "temp_lag_1d"), ("temp_lag_1d",)))
     by_year = rg.metrics(frame.withColumn("year", F.year("date")), ["year"]).select(
         F.lit("last_value").alias("model_name"), F.col("year").cast("string").alias("model_version"),
         F.make_date("year", F.lit(12), F.lit(31)).alias("evaluation_date"), "rmse", "mae", F.col("r2").alias("r_squared"),
@@ -348,7 +359,7 @@ HOT_HUMID = {("avg_temperature", 0.75): "is_hot", ("avg_humidity", 0.75): "is_ve
 
 @query("B19_above_quantile")
 def _(spark, sf):
-    return pf.above_quantile(fx.long_daily(spark, sf), HOT_HUMID).select("location_name", "date", "is_hot", "is_very_humid")
+    return pf.above_quantile(mart(spark, sf, "location_name", "date", "avg_temperature", "avg_humidity"), HOT_HUMID).select("location_name", "date", "is_hot", "is_very_humid")
 
 
 @query("B20_threshold_table")
@@ -383,7 +394,7 @@ def _(spark, sf):
 
 @query("C03_star_join")
 def _(spark, sf):
-    daily = written(fx.long_daily(spark, sf), "daily")
+    daily = mart(spark, sf)
     sites = dimensions.location_dimension(fx.shipments(spark, sf)).select("location_id", "location_name", "region")
     dates = dimensions.date_dimension(dimensions.spine_of(daily)).select("date_id", "date", F.col("day_name").alias("weekday"))
     joined = dimensions.join_dimension(dimensions.join_dimension(daily, sites, "location_name", "inner"), dates, "date", "inner")
@@ -408,7 +419,7 @@ def _(spark, sf):
 
 @query("C06_global_threshold")
 def _(spark, sf):
-    daily = fx.long_daily(spark, sf)
+    daily = mart(spark, sf, "location_name", "date", "max_temperature")
     bound = qt.thresholds(daily, {("max_temperature", 0.95): "temp_high"})
     return beside(daily, bound).filter("max_temperature >= temp_high").select("location_name", "date", "max_temperature", "temp_high")
 
@@ -511,7 +522,7 @@ def _(spark, sf):
 
 @query("D11_grouped_describe")
 def _(spark, sf):
-    daily = fx.long_daily(spark, sf)
+    daily = mart(spark, sf, "location_name", "avg_temperature", "total_precipitation", "avg_wind_speed")
     return pf.describe(daily, ["avg_temperature", "total_precipitation", "avg_wind_speed"], ["location_name"])
 
 
@@ -584,7 +595,7 @@ def _(spark, sf):
 
 @query("D21_extreme_days")
 def _(spark, sf):
-    return pf.extreme_days(fx.long_daily(spark, sf))
+    return pf.extreme_days(mart(spark, sf, "location_name", *[c for c, _ in pf.EXTREMES]))
 
 
 @query("D22_histogram")
@@ -594,7 +605,7 @@ def _(spark, sf):
 
 @query("D22_grouped_histogram")
 def _(spark, sf):
-    return pf.histogram(fx.long_daily(spark, sf), ["avg_wind_speed"], 30, ["location_name"])
+    return pf.histogram(mart(spark, sf, "location_name", "avg_wind_speed"), ["avg_wind_speed"], 30, ["location_name"])
 
 
 @query("D23_iqr_outliers")
@@ -604,12 +615,12 @@ def _(spark, sf):
 
 @query("D24_box_summary")
 def _(spark, sf):
-    return pf.box_summary(fx.long_daily(spark, sf), "location_name", "avg_temperature")
+    return pf.box_summary(mart(spark, sf, "location_name", "avg_temperature"), "location_name", "avg_temperature")
 
 
 @query("D24_box_summary_by_season")
 def _(spark, sf):
-    return pf.box_summary(fx.long_daily(spark, sf), "season", "avg_wind_speed")
+    return pf.box_summary(mart(spark, sf, "season", "avg_wind_speed"), "season", "avg_wind_speed")
 
 
 @query("D25_correlation_matrix")
@@ -634,7 +645,7 @@ def _(spark, sf):
 
 @query("D28_contingency")
 def _(spark, sf):
-    table = pf.contingency(pf.above_quantile(fx.long_daily(spark, sf), HOT_HUMID), "is_hot", "is_very_humid", [0, 1])
+    table = pf.contingency(pf.above_quantile(mart(spark, sf, "location_name", "date", "avg_temperature", "avg_humidity"), HOT_HUMID), "is_hot", "is_very_humid", [0, 1])
     return table.withColumnsRenamed({"0": "not_very_humid", "1": "very_humid"})
 
 
@@ -969,32 +980,32 @@ def _(spark, sf):
 
 @query("J02_shapiro")
 def _(spark, sf):
-    return inf.shapiro(fx.long_daily(spark, sf), list(DAILY_VARIABLES), ["location_name", "date"])
+    return inf.shapiro(mart(spark, sf, "location_name", "date", *DAILY_VARIABLES), list(DAILY_VARIABLES), ["location_name", "date"])
 
 
 @query("J03_qq_points")
 def _(spark, sf):
-    return inf.qq_points(fx.long_daily(spark, sf), "avg_temperature", ["location_name", "date"])
+    return inf.qq_points(mart(spark, sf, "location_name", "date", "avg_temperature"), "avg_temperature", ["location_name", "date"])
 
 
 @query("J03_qq_line")
 def _(spark, sf):
-    return inf.qq_line(inf.qq_points(fx.long_daily(spark, sf), "avg_temperature", ["location_name", "date"]))
+    return inf.qq_line(inf.qq_points(mart(spark, sf, "location_name", "date", "avg_temperature"), "avg_temperature", ["location_name", "date"]))
 
 
 @query("J04_levene")
 def _(spark, sf):
-    return inf.levene(fx.long_daily(spark, sf), "avg_temperature", "season")
+    return inf.levene(mart(spark, sf, "season", "avg_temperature"), "avg_temperature", "season")
 
 
 @query("J05_t_test")
 def _(spark, sf):
-    return inf.t_test(fx.long_daily(spark, sf), "avg_wind_speed", "season", *SEASONS)
+    return inf.t_test(mart(spark, sf, "season", "avg_wind_speed"), "avg_wind_speed", "season", *SEASONS)
 
 
 @query("J06_mann_whitney")
 def _(spark, sf):
-    return inf.mann_whitney(fx.long_daily(spark, sf), "avg_wind_speed", "season", *SEASONS)
+    return inf.mann_whitney(mart(spark, sf, "season", "avg_wind_speed"), "avg_wind_speed", "season", *SEASONS)
 
 
 @query("J07_cohens_d")
@@ -1004,22 +1015,22 @@ def _(spark, sf):
 
 @query("J08_anova")
 def _(spark, sf):
-    return inf.anova(fx.long_daily(spark, sf), "avg_temperature", "location_name")
+    return inf.anova(mart(spark, sf, "location_name", "avg_temperature"), "avg_temperature", "location_name")
 
 
 @query("J09_kruskal")
 def _(spark, sf):
-    return inf.kruskal(fx.long_daily(spark, sf), "avg_temperature", "location_name")
+    return inf.kruskal(mart(spark, sf, "location_name", "avg_temperature"), "avg_temperature", "location_name")
 
 
 @query("J10_tukey_hsd")
 def _(spark, sf):
-    return inf.tukey_hsd(fx.long_daily(spark, sf), "avg_temperature", "location_name")
+    return inf.tukey_hsd(mart(spark, sf, "location_name", "avg_temperature"), "avg_temperature", "location_name")
 
 
 @query("J10_tukey_differences")
 def _(spark, sf):
-    return inf.tukey_hsd(fx.long_daily(spark, sf), "avg_temperature", "location_name").select("group1", "group2", "mean_diff")
+    return inf.tukey_hsd(mart(spark, sf, "location_name", "avg_temperature"), "avg_temperature", "location_name").select("group1", "group2", "mean_diff")
 
 
 @query("J11_proportion_test")
@@ -1034,12 +1045,12 @@ def _(spark, sf):
 
 @query("J13_spearman")
 def _(spark, sf):
-    return inf.spearman(written(fx.long_daily(spark, sf).select(*DAILY_VARIABLES), "daily"), TESTED_PAIRS)
+    return inf.spearman(fx.long_daily(spark, sf), TESTED_PAIRS)
 
 
 @query("J14_kendall")
 def _(spark, sf):
-    return inf.kendall(written(fx.long_daily(spark, sf).select(*DAILY_VARIABLES), "daily"), TESTED_PAIRS)
+    return inf.kendall(fx.long_daily(spark, sf), TESTED_PAIRS)
 
 
 @query("J15_confidence_intervals")
@@ -1049,12 +1060,12 @@ def _(spark, sf):
 
 @query("J16_chi_square")
 def _(spark, sf):
-    return inf.chi_square(pf.above_quantile(fx.long_daily(spark, sf), HOT_HUMID), "is_hot", "is_very_humid")
+    return inf.chi_square(pf.above_quantile(mart(spark, sf, "location_name", "date", "avg_temperature", "avg_humidity"), HOT_HUMID), "is_hot", "is_very_humid")
 
 
 @query("J16_expected_counts")
 def _(spark, sf):
-    return inf.expected_counts(pf.above_quantile(fx.long_daily(spark, sf), HOT_HUMID), "is_hot", "is_very_humid")
+    return inf.expected_counts(pf.above_quantile(mart(spark, sf, "location_name", "date", "avg_temperature", "avg_humidity"), HOT_HUMID), "is_hot", "is_very_humid")
 
 
 @query("J17_labels")
@@ -1065,7 +1076,7 @@ def _(spark, sf):
 
 @query("J18_group_descriptions")
 def _(spark, sf):
-    return inf.group_descriptions(fx.long_daily(spark, sf), "total_precipitation", "season")
+    return inf.group_descriptions(mart(spark, sf, "season", "total_precipitation"), "total_precipitation", "season")
 
 
 # -- K: regression -----------------------------------------------------------------------------
@@ -1074,7 +1085,7 @@ def _(spark, sf):
 
 
 def _frame(spark, sf):
-    return rg.model_frame(written(fx.long_features(spark, sf), "features"))
+    return rg.model_frame(feature_mart(spark, sf))
 
 
 def _split(spark, sf, scaled: bool = False):
@@ -1099,30 +1110,31 @@ def _(spark, sf):
 
 @query("K02_mean_imputation")
 def _(spark, sf):
-    return rg.impute_means(rg.model_frame(fx.long_features(spark, sf), ("temp_lag_14d", "temp_rolling_std_7d_prev")), columns=("temp_lag_14d", "temp_rolling_std_7d_prev"))
+    columns = ("temp_lag_14d", "temp_rolling_std_7d_prev")
+    return rg.impute_means(rg.model_frame(feature_mart(spark, sf, *columns), columns), columns=columns)
 
 
 @query("K03_time_split")
 def _(spark, sf):
-    return rg.split_summary(rg.split_by_time(rg.model_frame(fx.long_features(spark, sf), ("temp_lag_1d",))))
+    return rg.split_summary(rg.split_by_time(rg.model_frame(feature_mart(spark, sf, "temp_lag_1d"), ("temp_lag_1d",))))
 
 
 @query("K04_standardise")
 def _(spark, sf):
     columns = ("temp_lag_1d", "precip_lag_1d")
-    split = rg.split_by_time(rg.model_frame(fx.long_features(spark, sf), columns))
+    split = rg.split_by_time(rg.model_frame(feature_mart(spark, sf, *columns), columns))
     return rg.standardise(split, split.filter("split = 'train'"), columns)
 
 
 @query("K05_mean_baseline")
 def _(spark, sf):
-    split = rg.split_by_time(rg.model_frame(fx.long_features(spark, sf), ("temp_lag_1d",)))
+    split = rg.split_by_time(rg.model_frame(feature_mart(spark, sf, "temp_lag_1d"), ("temp_lag_1d",)))
     return rg.metrics(rg.mean_baseline(split.filter("split = 'train'"), split.filter("split = 'test'")))
 
 
 @query("K06_last_value_baseline")
 def _(spark, sf):
-    split = rg.split_by_time(rg.model_frame(fx.long_features(spark, sf), ("temp_lag_1d",)))
+    split = rg.split_by_time(rg.model_frame(feature_mart(spark, sf, "temp_lag_1d"), ("temp_lag_1d",)))
     return rg.metrics(rg.last_value_baseline(split.filter("split = 'test'")))
 
 
@@ -1134,7 +1146,7 @@ def _(spark, sf):
 @query("K07_single_input_line")
 def _(spark, sf):
     columns = ("temp_rolling_7d_prev",)
-    split = rg.split_by_time(rg.model_frame(fx.long_features(spark, sf), columns))
+    split = rg.split_by_time(rg.model_frame(feature_mart(spark, sf, *columns), columns))
     train, test = (rg.assemble(split.filter(f"split = '{part}'"), columns) for part in ("train", "test"))
     return rg.least_squares().fit(train).transform(test).select("location_name", "date", "label", "prediction")
 
@@ -1171,7 +1183,7 @@ def _(spark, sf):
 
 @query("K14_metrics_by_site")
 def _(spark, sf):
-    frame = rg.last_value_baseline(rg.model_frame(fx.long_features(spark, sf), ("temp_lag_1d",)))
+    frame = rg.last_value_baseline(rg.model_frame(feature_mart(spark, sf, "temp_lag_1d"), ("temp_lag_1d",)))
     return rg.metrics(frame, ["location_name"])
 
 
@@ -1212,19 +1224,19 @@ def _(spark, sf):
 
 @query("K17_residuals")
 def _(spark, sf):
-    split = rg.split_by_time(rg.model_frame(fx.long_features(spark, sf), ("temp_lag_1d",)))
+    split = rg.split_by_time(rg.model_frame(feature_mart(spark, sf, "temp_lag_1d"), ("temp_lag_1d",)))
     return rg.residuals(rg.last_value_baseline(split.filter("split = 'test'")))
 
 
 @query("K17_residual_summary")
 def _(spark, sf):
-    split = rg.split_by_time(rg.model_frame(fx.long_features(spark, sf), ("temp_lag_1d",)))
+    split = rg.split_by_time(rg.model_frame(feature_mart(spark, sf, "temp_lag_1d"), ("temp_lag_1d",)))
     return rg.residual_summary(rg.residuals(rg.last_value_baseline(split.filter("split = 'test'"))))
 
 
 @query("K18_time_blocks")
 def _(spark, sf):
-    blocks = rg.time_blocks(rg.model_frame(fx.long_features(spark, sf), ("temp_lag_1d",)), 6)
+    blocks = rg.time_blocks(rg.model_frame(feature_mart(spark, sf, "temp_lag_1d"), ("temp_lag_1d",)), 6)
     return blocks.groupBy("fold").agg(F.count(F.lit(1)).alias("records"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 
 

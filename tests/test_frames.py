@@ -111,7 +111,7 @@ def test_kendall_against_all_pairs(spark):
     rng = random.Random(3)
     points = [(rng.randrange(25), rng.randrange(30)) for _ in range(300)] + [(4, 4)] * 100
     df = spark.createDataFrame(points, "x int, y int")
-    row = ranks.kendall(df, "x", "y").first()
+    row = ranks.kendall(df, [("x", "y")]).first()
     xs, ys = np.array(points).T.astype(float)
     dx, dy = np.sign(xs[:, None] - xs), np.sign(ys[:, None] - ys)
     balance = (dx * dy).sum() / 2
@@ -122,13 +122,13 @@ def test_kendall_against_all_pairs(spark):
 
 def test_kendall_of_one_value(spark):
     df = spark.createDataFrame([(1, i) for i in range(10)], "x int, y int")
-    cells = ranks.pair_cells(df, "x", "y")
+    cells = ranks.pair_cells(df, [("x", "y")])
     assert ranks.concordant_pairs(cells).first().concordant == 0
 
 
 def test_spearman_of_monotone_data(spark):
     df = spark.range(1, 200).select(F.col("id").alias("x"), (F.col("id") * F.col("id")).alias("y"))
-    assert ranks.spearman(df, "x", "y").first().rho == pytest.approx(1.0)
+    assert ranks.spearman(df, [("x", "y")]).first().rho == pytest.approx(1.0)
 
 
 @pytest.mark.parametrize("period", [7, 6])

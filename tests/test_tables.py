@@ -68,7 +68,7 @@ def test_unreadable_target_stops_the_load(spark, tmp_path):
 def test_day_scope_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "raw")
     tables.append_new(_batch(spark, 0, 240), path)
-    batch = _batch(spark, 230, 250).withColumn("date", F.to_date("datetime"))
+    batch = _batch(spark, 200, 250).withColumn("date", F.to_date("datetime"))
     target = tables.on_days_of(spark.read.parquet(path), batch, "date")
     assert target.select("date").distinct().count() == 2
     plan = target._jdf.queryExecution().executedPlan().toString()
