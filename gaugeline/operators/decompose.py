@@ -2,50 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gaugeline.operators import frames
+from gaugeline.operators.dimensions import join_dimension
 from gaugeline.schema import SeriesSpec
 
 
 def seasonal_decompose(
-    df: DataFrame, value: str, period: int = 365, spec: SeriesSpec = SeriesSpec(time="date")
+    df: DataFrame,
+    value: str,
+    period: int = 365,
+    spec: SeriesSpec = SeriesSpec(time="date"),
+    limit: int | None = None,
+    block_rows: int = frames.BLOCK_ROWS,
 ) -> DataFrame:
     """(entity, time, observed, trend, seasonal, resid) per row.
 
     The trend is a centred moving mean over one period (half weights at both ends when the
     period is even), NULL where the frame is incomplete. The seasonal part is the mean detrended
     value of each phase, shifted so that the phases average to zero. An entity shorter than two
-    periods is left out. Series hold one row per calendar day, so a window partition per entity
-    is bounded.
+    periods is left out. A daily series holds one row per calendar day, so a window partition
+    per entity is bounded; pass ``limit`` for series of finer grain.
     """
-    series = Window.partitionBy(spec.entity)
-    ordered = series.orderBy(spec.time)
+    key, order = [spec.entity], list(spec.order)
     half = period // 2
-    frame = ordered.rowsBetween(-half, half)
-    total = F.sum("observed").over(frame)
-    if period % 2 == 0:
-        ends = F.lag("observed", half).over(ordered) + F.lead("observed", half).over(ordered)
-        total = total - ends / 2.0
-    full = F.count("observed").over(frame) == 2 * half + 1
-    trended = (
-        df.select(spec.entity, spec.time, F.col(value).cast("double").alias("observed"))
-        .filter(F.col("observed").isNotNull())
-        .withColumns(
-            {
-                "_rows": F.count(F.lit(1)).over(series),
-                "phase": (F.row_number().over(ordered) - 1) % period,
-                "trend": F.when(full, total / period),
-            }
-        )
-        .filter(F.col("_rows") >= 2 * period)
-    )
+    series = df.select(*key, *order, F.col(value).cast("double").alias("observed")).dropna(subset=["observed"])
+    sizes = series.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= 2 * period)
+    long_enough = join_dimension(series, sizes, key, "inner").drop("_rows")
+
+    def build(window: WindowSpec) -> dict[str, Column]:
+        frame = window.rowsBetween(-half, half)
+        total = F.sum("observed").over(frame)
+        if period % 2 == 0:
+            total = total - (F.lag("observed", half).over(window) + F.lead("observed", half).over(window)) / 2.0
+        full = F.count("observed").over(frame) == 2 * half + 1
+        return {"trend": F.when(full, total / period)}
+
+    if limit is None or not frames.has_large_group(series, key, limit):
+        ordered = Window.partitionBy(*key).orderBy(*order)
+        placed = long_enough.withColumns({**build(ordered), "_place": F.row_number().over(ordered)})
+    else:
+        numbered = frames.with_positions(long_enough, order, "_place", key)
+        placed = frames.over_rows(numbered, key, ["_place"], build, half, half, limit, block_rows)
+    trended = placed.withColumn("phase", (F.col("_place") - 1) % period)
     # phases: at most `period` rows per entity
-    phases = trended.groupBy(spec.entity, "phase").agg(F.avg(F.col("observed") - F.col("trend")).alias("_mean"))
-    centred = phases.withColumn("seasonal", F.col("_mean") - F.avg("_mean").over(series)).drop("_mean")
-    return trended.join(centred, [spec.entity, "phase"]).select(
-        spec.entity,
+    phases = trended.groupBy(*key, "phase").agg(F.avg(F.col("observed") - F.col("trend")).alias("_mean"))
+    centred = phases.withColumn("seasonal", F.col("_mean") - F.avg("_mean").over(Window.partitionBy(*key))).drop("_mean")
+    return trended.join(centred, [*key, "phase"]).select(
+        *key,
         spec.time,
         "observed",
         "trend",

@@ -21,10 +21,6 @@ GROUP_LIMIT = 1_000_000
 BLOCK_ROWS = 100_000
 
 
-def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def beside(df: DataFrame, *rows: DataFrame) -> DataFrame:
     """Add the columns of one-row frames to every row of ``df``, as scalar subqueries: each is
     evaluated once and its values become constants, with no join."""
@@ -56,7 +52,8 @@ def prefix_sums(
     spread over all tasks; only per-partition totals are summed in sequence. ``order`` should be
     unique within a group.
     """
-    ranged = df.repartitionByRange(partitions or shuffle_partitions(df), *group, *order)
+    # Without a number, small neighbouring ranges are merged at run time; their order stays.
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *group, *order)
     # Partition ids must not change between the two uses below, hence the written table.
     staged = written(ranged.withColumn("_part", F.spark_partition_id()), "prefix")
     totals = staged.groupBy(*group, "_part").agg(F.sum(weight).alias("_total"))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gaugeline.operators.dimensions import join_dimension
-from gaugeline.operators.frames import beside, shuffle_partitions
+from gaugeline.operators.frames import beside
 from gaugeline.operators.profile import count_to_reach, cumulative_share
 from gaugeline.operators.quantiles import quantiles
 from gaugeline.schema import MODEL_FEATURES, TARGET
@@ -83,11 +83,10 @@ def assemble(frame: DataFrame, columns: Sequence[str] = MODEL_FEATURES) -> DataF
     return vectors.transform(frame).select(*[c for c in frame.columns if c not in columns], "features")
 
 
-def training_set(frame: DataFrame, columns: Sequence[str] = MODEL_FEATURES) -> DataFrame:
+def training_set(frame: DataFrame, columns: Sequence[str] = MODEL_FEATURES, partitions: int | None = None) -> DataFrame:
     """Assembled rows spread over the cluster's cores. Tree learners pass over their input once
     per level, so a compact mart must not leave them on the few tasks its files amount to."""
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    parts = max(cores, shuffle_partitions(frame))
+    parts = partitions or frame.sparkSession.sparkContext.defaultParallelism
     return assemble(frame.repartition(parts, "location_name", "date"), columns)
 
 

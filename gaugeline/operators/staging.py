@@ -126,10 +126,11 @@ def keep_reliable(df: DataFrame, minimum: int = MINIMUM_SCORE) -> DataFrame:
 
 
 def check_quality(staged: DataFrame, spec: SeriesSpec = WEATHER, gates=GATES, **fill) -> DataFrame:
-    """Flags, cleaning, gap filling and score. Neighbours are taken before unreliable rows are
-    dropped, so a dropped row still lends its valid measures to the rows around it."""
+    """Flags, cleaning, score and gap filling. Neighbours are taken before unreliable rows are
+    dropped, so a dropped row still lends its valid measures to the rows around it; the score is
+    known before, so that a consumer of the score alone moves one number instead of all flags."""
     flagged = outlier_flags(staged, gates).drop(*[c for c in staged.columns if c.startswith("has_missing_")])
-    return keep_reliable(quality_score(fill_gaps(clean_outliers(flagged, gates), spec, gates, **fill), gates))
+    return keep_reliable(fill_gaps(quality_score(clean_outliers(flagged, gates), gates), spec, gates, **fill))
 
 
 # -- enrichment --------------------------------------------------------------------------------

@@ -23,6 +23,15 @@ def skewed(spark, rows=3000, seed=1):
     return spark.createDataFrame(data, "g string, t int, id int, v double")
 
 
+@pytest.fixture(params=["merged", "apart"])
+def ranges(request, spark):
+    """Small range partitions merged at run time, as by default, or all kept apart."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "true" if request.param == "merged" else "false")
+    yield request.param
+    spark.conf.set(key, "true")
+
+
 def test_prefix_sums_match_running_totals(spark):
     df = skewed(spark).withColumn("w", F.lit(1).cast("long"))
     got = {r.id: r.before for r in frames.prefix_sums(df, ["t", "id"], "w", group=["g"], partitions=5).collect()}
@@ -42,14 +51,14 @@ def test_prefix_sums_with_null_group(spark):
     assert all(r.before == r.t * (2 if r.g is None else 3) for r in rows) and len(rows) == 100
 
 
-def test_positions_split_a_run_of_equal_keys(spark):
+def test_positions_split_a_run_of_equal_keys(spark, ranges):
     df = spark.range(1000).select(F.lit(7).alias("k"), "id")
     got = sorted(r.position for r in frames.with_positions(df, ["k"]).collect())
     assert got == list(range(1, 1001))
 
 
 @pytest.mark.parametrize("block_rows", [3, 10, 64])
-def test_blocks_equal_plain_windows(spark, block_rows):
+def test_blocks_equal_plain_windows(spark, ranges, block_rows):
     df = skewed(spark)
 
     def build(w):
@@ -86,7 +95,7 @@ def test_gap_fill_edges(spark):
 
 
 @pytest.mark.parametrize("limit", [0, 10**6])
-def test_quantiles_match_numpy(spark, limit):
+def test_quantiles_match_numpy(spark, ranges, limit):
     df = skewed(spark).withColumn("w", F.when(F.col("id") % 5 != 0, F.col("v") * F.col("t")))
     probabilities = (0.0, 0.05, 0.5, 0.77, 1.0)
     found = quantiles.quantiles(df, ["v", "w"], probabilities, ["g"], limit=limit).collect()
@@ -100,14 +109,14 @@ def test_quantiles_match_numpy(spark, limit):
         assert r["quantile"] == pytest.approx(np.quantile(raw[(r.g, r.variable)], r.probability), abs=1e-9)
 
 
-def test_average_ranks_sum(spark):
+def test_average_ranks_sum(spark, ranges):
     df = skewed(spark)
     rows = ranks.value_ranks(df, "v").collect()
     n = 3000
     assert sum(r.n * r["rank"] for r in rows) == pytest.approx(n * (n + 1) / 2)
 
 
-def test_kendall_against_all_pairs(spark):
+def test_kendall_against_all_pairs(spark, ranges):
     rng = random.Random(3)
     points = [(rng.randrange(25), rng.randrange(30)) for _ in range(300)] + [(4, 4)] * 100
     df = spark.createDataFrame(points, "x int, y int")
@@ -145,6 +154,10 @@ def test_decomposition_adds_up(spark, period):
         if r.trend is not None:
             assert r.trend + r.seasonal + r.resid == pytest.approx(r.observed)
     assert sum(r.seasonal for r in got[:period]) == pytest.approx(0.0, abs=1e-9)
+    blocks = decompose.seasonal_decompose(df, "v", period, limit=4, block_rows=5).orderBy("date").collect()
+    for one, two in zip(got, blocks, strict=True):
+        assert (one.date, one.trend is None) == (two.date, two.trend is None)
+        assert one.seasonal == pytest.approx(two.seasonal, abs=1e-9)
 
 
 def _daily(spark, bump_day=None):
@@ -156,9 +169,7 @@ def _daily(spark, bump_day=None):
         rows.append(("a", start + dt.timedelta(days=i), 1, 2024, 1, i % 7, 0, "Dry Season", *[float((i * 7 + j) % 11) + bump for j in range(len(sources))]))
     names = "location_name string, date date, month int, year int, quarter int, day_of_week int, is_weekend int, season string"
     kinds = ", ".join(f"{c} {'bigint' if c.startswith('hours_') else 'double'}" for c in sources)
-    rows = [tuple(int(v) if names_c.startswith("hours_") else v for v, names_c in zip(r[8:], sources)) for r in rows] and [
-        (*r[:8], *[int(v) if c.startswith("hours_") else v for v, c in zip(r[8:], sources)]) for r in rows
-    ]
+    rows = [(*r[:8], *[int(v) if c.startswith("hours_") else v for v, c in zip(r[8:], sources)]) for r in rows]
     return spark.createDataFrame(rows, f"{names}, {kinds}")
 
 
