@@ -345,7 +345,7 @@ add("F03_tail", "event_id i, location_name", "select * from readings order by da
 add("F05_top_k", "o_orderkey i, o_totalprice f", "select * from orders order by o_totalprice desc, o_orderkey limit 20")
 add("G01_union_all", "event_id i, location_name", "select event_id, location_name from readings where event_id % 2 = 0 union all select event_id, location_name from readings where event_id % 3 = 0")
 add("G02_distinct", "location_name, latitude f, longitude f", "select distinct location_name, latitude, longitude from readings")
-add("G03_difference", "custkey i", "select c_custkey as custkey from customer except select o_custkey from orders")
+add("G03_difference", "custkey i", "select c_custkey as custkey from customer except select o_custkey from orders where o_totalprice > 400000")
 add("H01_date_spine", "date d", "select cast(unnest(generate_series(min(date), max(date), interval 1 day)) as date) as date from ldaily")
 add("H02_date_dimension", "date_id i, date d, day i, month i, year i, quarter i, day_of_week i, week_of_year i, day_name, month_name, is_weekend i, season",
     f"""select row_number() over (order by date) as date_id, date, day(date) as day, month(date) as month, year(date) as year, quarter(date) as quarter,
@@ -371,11 +371,11 @@ add("I07_enough_days", "location_name, day_count i, date_range_days i, status",
        from orders_daily where day(date) not in (3, 7, 11, 19) group by all) where day_count < date_range_days * 0.9""")
 add("I08_quality_at_least", "location_name, avg_quality_score f, min_quality_score i, total_records i",
     """select location_name, avg(data_quality_score) as avg_quality_score, min(data_quality_score) as min_quality_score, count(*) as total_records
-       from checked group by all having avg(data_quality_score) < 90""")
+       from checked group by all having avg(data_quality_score) < 91""")
 add("I09_continuous_days", "location_name, date d, prev_date d, day_gap i", f"select * from ({GAPS}) where day_gap > 1")
 add("I10_consistent_lag", "location_name, date d, temp_lag_1d f, actual_yesterday_temp f, difference f",
     f"select * from ({RELAG.format('(select * replace (if(day(date) = 5, temp_lag_1d + 0.5e0, temp_lag_1d) as temp_lag_1d) from features)')}) where difference > 0.1")
-add("I11_all_present", "location_name", "select 'n' || n_nationkey as location_name from nation where n_nationkey not in (select s_nationkey from supplier)")
+add("I11_all_present", "location_name", "select 'n' || n_nationkey as location_name from nation where n_nationkey not in (select s_nationkey from supplier where s_acctbal > 7000)")
 add("I12_one_row_per_day", "location_name, date d, record_count i", "select location_name, date, count(*) as record_count from staged group by all having count(*) > 1")
 add("I13_no_future_dates", "location_name, date d, record_count i", "select location_name, date, count(*) as record_count from daily where date > date '2024-01-20' group by all")
 add("I14_non_negative_totals", "location_name, date d, total_precipitation f",
@@ -387,6 +387,38 @@ add("I16_ordered_temperatures", "location_name, date d, min_temperature f, avg_t
 add("I17_batch_shape", "missing_columns, records i, expected i, is_complete i",
     "select 'pressure' as missing_columns, count(*) as records, 3600 as expected, count(*) >= 3600 as is_complete from readings")
 
+SITES_DIM = "(select row_number() over (order by location_name) as location_id, location_name from (select distinct location_name from readings))"
+DATES_DIM = "(select row_number() over (order by date) as date_id, date from (select distinct date from daily))"
+DECLARED = {
+    "raw": ("readings", ["record_id"], ["record_id", "datetime", "location_name", "temperature"]),
+    "staged": ("staged", ["record_id"], ["record_id", "datetime", "temperature", "pressure"]),
+    "daily": ("daily", ["daily_id"], ["daily_id", "location_name", "date", "avg_temperature"]),
+    "features": ("features", ["feature_id"], ["feature_id"]),
+    "dim_location": (SITES_DIM, ["location_id", "location_name"], ["location_id", "location_name"]),
+    "dim_date": (DATES_DIM, ["date_id", "date"], ["date_id", "date"]),
+}
+FOUND = {f"unique_{t}_{c}": f"select {c} from {source} where {c} is not null group by {c} having count(*) > 1" for t, (source, keys, _) in DECLARED.items() for c in keys}
+FOUND |= {f"not_null_{t}_{c}": f"select 1 from {source} where {c} is null" for t, (source, _, required) in DECLARED.items() for c in required}
+FOUND |= {
+    "valid_temperature_staged": "select distinct temperature from staged where temperature not between -50 and 60",
+    "valid_humidity_staged": "select distinct humidity from staged where humidity not between 0 and 100",
+    "non_negative_staged_precipitation": "select distinct precipitation from staged where precipitation < 0",
+    "non_negative_staged_wind_speed": "select distinct wind_speed from staged where wind_speed < 0",
+    "enough_days": "select 1 from daily group by location_name having count(distinct date) < datediff('day', min(date), max(date)) * 0.9",
+    "quality_at_least": "select 1 from checked group by location_name having avg(data_quality_score) < 80",
+    "continuous_days": "select 1 from daily qualify datediff('day', lag(date) over (partition by location_name order by date), date) > 1",
+    "consistent_lag": "select 1 from features qualify abs(temp_lag_1d - lag(avg_temperature) over (partition by location_name order by date)) > 0.1",
+    "all_present": "select 1 from unnest(['Hanoi', 'Ho Chi Minh City', 'Da Nang', 'Can Tho', 'Hai Phong']) as t(v) where v not in (select location_name from daily)",
+    "one_row_per_day": "select 1 from daily group by location_name, date having count(*) > 1",
+    "no_future_dates": "select 1 from daily where date > date '2030-01-01'",
+    "non_negative_totals": "select 1 from daily where total_precipitation < 0",
+    "plausible_rolling_means": "select 1 from features where abs(avg_temperature - temp_rolling_7d_prev) > 15 or abs(avg_temperature - temp_rolling_30d_prev) > 20",
+    "ordered_temperatures": "select 1 from daily where min_temperature > avg_temperature or avg_temperature > max_temperature",
+}
+add("I18_check_suite", "check_name, violations i, status",
+    "select *, if(violations = 0, 'pass', 'fail') as status from ("
+    + " union all ".join(f"select '{name}' as check_name, count(*) as violations from ({sql})" for name, sql in FOUND.items()) + ")")
+
 # -- J
 add("J01_dagostino", "variable, n i, skew f, kurt f, k2 f, p_value f",
     f"""select *, pow(d * ln(y / a + sqrt(pow(y / a, 2) + 1)), 2) + pow((1 - 2 / (9 * g) - pow((1 - 2 / g) / (1 + x * sqrt(2 / (g - 4))), 1e0 / 3)) / sqrt(2 / (9 * g)), 2) as k2, exp(-k2 / 2) as p_value
