@@ -661,7 +661,7 @@ def _(spark, sf):
 
 @query("D31_kpis")
 def _(spark, sf):
-    return pf.kpis(fx.long_daily(spark, sf))
+    return pf.kpis(mart(spark, sf, "location_name", "avg_temperature", "max_temperature", "avg_humidity", "total_precipitation"))
 
 
 @query("D32_month_site_trend")
@@ -758,12 +758,12 @@ def _(spark, sf):
 
 @query("E11_seasonal_decompose")
 def _(spark, sf):
-    return decompose.seasonal_decompose(fx.long_daily(spark, sf), "avg_temperature")
+    return decompose.seasonal_decompose(mart(spark, sf, "location_name", "date", "avg_temperature"), "avg_temperature")
 
 
 @query("E11_seasonal_decompose_even_period")
 def _(spark, sf):
-    return decompose.seasonal_decompose(fx.long_daily(spark, sf), "avg_humidity", period=30)
+    return decompose.seasonal_decompose(mart(spark, sf, "location_name", "date", "avg_humidity"), "avg_humidity", period=30)
 
 
 @query("E12_average_ranks")
