@@ -25,11 +25,9 @@ from gaugeline.plans import fixtures as fx
 from gaugeline.plans.portable import portable
 from gaugeline.schema import (
     MEASURES,
-    MODEL_FEATURES,
     PERFORMANCE_KEY,
     PREDICTION_KEY,
     RAW_READINGS,
-    SITE_REGIONS,
 )
 from gaugeline.session import written
 from gaugeline.sources import readers, seeds, tables

@@ -49,7 +49,7 @@ from (select *, cast(json_extract_string(props, '$.k') as double) as k from even
 CTES["shipments"] = """
 select l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey as record_id,
   l_shipdate + to_hours(cast((l_orderkey * 7 + l_linenumber) % 24 as integer)) as datetime,
-  {'A': 'Hanoi', 'N': 'Ho Chi Minh City', 'R': 'Da Nang'}[l_returnflag] as location_name,
+  case l_returnflag when 'A' then 'Hanoi' when 'N' then 'Ho Chi Minh City' else 'Da Nang' end as location_name,
   cast(ascii(l_returnflag) - 50 as double) as latitude, cast(ascii(l_returnflag) + 30 as double) as longitude,
   l_quantity * 0.25e0 + 16e0 + abs(m - 1) * 0.5e0 as temperature,
   l_discount * 400e0 + 45e0 + m as humidity,
@@ -59,10 +59,7 @@ select l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey
   cast((l_partkey * 37) % 360 as double) as wind_direction,
   cast(l_orderkey % 101 as double) as cloud_cover,
   cast(l_shipdate as date) as extract_date
-from (select *, month(l_shipdate) as m from lineitem)""".replace(
-    "{'A': 'Hanoi', 'N': 'Ho Chi Minh City', 'R': 'Da Nang'}[l_returnflag]",
-    "case l_returnflag when 'A' then 'Hanoi' when 'N' then 'Ho Chi Minh City' else 'Da Nang' end",
-)
+from (select *, month(l_shipdate) as m from lineitem)"""
 
 
 def _chain(prefix: str, source: str, tie: str) -> None:
@@ -106,7 +103,7 @@ from {p}enriched where date <= {AS_OF} group by location_name, date"""
     rolls = ", ".join(
         f"{agg}({c}) over {by} rows between {n} preceding and 1 preceding) as {name}" for name, agg, c, n in ft.ROLLING
     )
-    CTES[f"{p}windowed"] = f"select *, {lags}, {rolls} from {p}daily".replace("max_wind_speed_7d_prev,", "max_wind_speed_7d_prev,")
+    CTES[f"{p}windowed"] = f"select *, {lags}, {rolls} from {p}daily"
     diffs = ", ".join(f"{rnd(f'({a} - {b}) / {d}e0', 2)} as {n}" for n, a, b, d in ft.DIFFERENCES)
     vols = ", ".join(f"{rnd(src, 2)} as {n}" for n, src in ft.VOLATILITY)
     plain = ", ".join(n if n in ft.WHOLE_NUMBERS else f"{rnd(n, 2)} as {n}" for n in ft.LAG_NAMES + ft.ROLLING_NAMES)

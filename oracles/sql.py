@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from gaugeline.operators import features as ft
 from gaugeline.schema import MODEL_FEATURES
-from oracles.base import CONDITIONS, FLAG_LIST, FLAG_SUM, FLAGS, PART, SEASON, cols, full, p_normal, p_t, rnd
+from oracles.base import CONDITIONS, FLAGS, PART, SEASON, cols, full, p_normal, p_t, rnd
 
 ORACLES: dict[str, str] = {}
 MEASURES = ("temperature", "humidity", "precipitation", "pressure", "wind_speed", "wind_direction", "cloud_cover")
@@ -312,22 +312,20 @@ RELAG = "select location_name, date, temp_lag_1d, lag(avg_temperature) over (par
 add("E10_recomputed_lag", "location_name, date d, temp_lag_1d f, actual_yesterday_temp f, difference f", RELAG.format("lfeatures"))
 
 
-def decompose_sql(value: str, period: int) -> str:
+def trend_sql(value: str, period: int) -> str:
     h = period // 2
-    ends = f" - (lag(o, {h}) over s + lead(o, {h}) over s) / 2e0" if period % 2 == 0 else ""
-    return f"""select location_name, date, o as observed, trend, d - avg(d) over (partition by location_name) as seasonal, o - trend - seasonal as resid from (
-      select t.*, d0.d from tr t join (select location_name, phase, avg(o - trend) as d from tr group by all) d0 using (location_name, phase)) """, f"""
-      select location_name, date, {value} as o, (row_number() over s - 1) % {period} as phase,
-      if(count(*) over f = {2 * h + 1}, (sum({value}) over f{ends.replace('(o', f'({value}')}) / {period}e0, null) as trend
+    ends = f" - (lag({value}, {h}) over s + lead({value}, {h}) over s) / 2e0" if period % 2 == 0 else ""
+    return f"""select location_name, date, {value} as o, (row_number() over s - 1) % {period} as phase,
+      if(count(*) over f = {2 * h + 1}, (sum({value}) over f{ends}) / {period}e0, null) as trend
       from ldaily where {value} is not null
       window s as (partition by location_name order by date), f as (partition by location_name order by date rows between {h} preceding and {h} following)"""
 
 
+PHASES = "select location_name, phase, m - avg(m) over (partition by location_name) as seasonal from (select location_name, phase, avg(o - trend) as m from tr group by all)"
 for key, value, period in (("E11_seasonal_decompose", "avg_temperature", 365), ("E11_seasonal_decompose_even_period", "avg_humidity", 30)):
-    body, trend = decompose_sql(value, period)
-    phases = "select location_name, phase, m - avg(m) over (partition by location_name) as seasonal from (select location_name, phase, avg(o - trend) as m from tr group by all)"
     add(key, "location_name, date d, observed f, trend f, seasonal f, resid f",
-        "select location_name, date, o as observed, trend, seasonal, o - trend - seasonal as resid from tr join ph using (location_name, phase)", tr=trend, ph=phases)
+        "select location_name, date, o as observed, trend, seasonal, o - trend - seasonal as resid from tr join ph using (location_name, phase)",
+        tr=trend_sql(value, period), ph=PHASES)
 add("E12_average_ranks", "value f, n i, rank f",
     "select value, count(*) as n, any_value(r) + (count(*) - 1) / 2e0 as rank from (select value, rank() over (order by value) as r from events) group by value")
 add("E13_cumulative_share", "n_90 i, n_95 i",
