@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeline.llm import packing, quality_rules, token_counts, token_files
+from gaugeline.llm import bpe, packing, quality_rules, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir), WORD_BPE)
+
+
+@query("op7_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(documents(spark, sf_dir), WORD_BPE)
