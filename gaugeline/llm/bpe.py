@@ -82,8 +82,7 @@ class Bpe:
         every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
         here = set(regex.findall(r"[\p{L}\p{N}]", every))
         there = {c for c in every if unicodedata.category(c)[0] in "LN"}
-        unsettled = here ^ there
-        self.odd = regex.compile("|".join([r"<\|", "[" + "".join(map(regex.escape, sorted(unsettled))) + "]"][: 1 + bool(unsettled)]))
+        self.unsettled = frozenset(here ^ there)
 
     def _tries(self, spelled: dict[int, tuple[int, ...]]) -> None:
         """A trie of every token that is the merge result of its own symbols."""
@@ -277,7 +276,7 @@ class Bpe:
             return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
         coded = pc.dictionary_encode(words)
         different = coded.dictionary.to_pylist()
-        is_odd = np.fromiter(((not w.isascii() or "<|" in w) and self.odd.search(w) is not None for w in different), bool, len(different))
+        is_odd = np.fromiter(("<|" in w or not (w.isascii() or self.unsettled.isdisjoint(w)) for w in different), bool, len(different))
         order = np.argsort(is_odd, kind="stable")
         n_plain = len(different) - int(is_odd.sum())
         listed = [different[i] for i in order]
