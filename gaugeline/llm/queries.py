@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeline.llm import bpe, packing, quality_rules, token_counts, token_files
+from gaugeline.llm import bpe, packing, quality_rules, simhash, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_bpe")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), WORD_BPE)
+
+
+@query("op6_simhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.grouped(documents(spark, sf_dir)).drop("text_hash")
