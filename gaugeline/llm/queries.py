@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeline.llm import bpe, packing, quality_classifier, quality_rules, simhash, token_counts, token_files
+from gaugeline.llm import bpe, packing, personal_data, quality_classifier, quality_rules, simhash, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_quality_classifier")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.scored(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op5_personal_data")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data(documents(spark, sf_dir))
