@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeline.llm import bpe, packing, personal_data, quality_classifier, quality_rules, simhash, token_counts, token_files
+from gaugeline.llm import bpe, fingerprints, packing, personal_data, quality_classifier, quality_rules, simhash, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +69,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_personal_data")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.personal_data(documents(spark, sf_dir))
+
+
+@query("op10_fingerprints")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.document_fingerprints(documents(spark, sf_dir))
