@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeline.llm import bpe, fingerprints, packing, personal_data, quality_classifier, quality_rules, simhash, token_counts, token_files
+from gaugeline.llm import bpe, fingerprints, packing, page_text, personal_data, quality_classifier, quality_rules, simhash, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,3 +74,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_fingerprints")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.document_fingerprints(documents(spark, sf_dir))
+
+
+@query("op9_page_text")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.page_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
