@@ -24,21 +24,21 @@ def seasonal_decompose(
     The trend is a centred moving mean over one period (half weights at both ends when the
     period is even), NULL where the frame is incomplete. The seasonal part is the mean detrended
     value of each phase, shifted so that the phases average to zero. An entity shorter than two
-    periods is left out. A daily series holds one row per calendar day, so a window partition
+    periods keeps its rows with NULL components. A daily series holds one row per calendar day, so a window partition
     per entity is bounded; pass ``limit`` for series of finer grain.
     """
     key, order = [spec.entity], list(spec.order)
     half = period // 2
     series = df.select(*key, *order, F.col(value).cast("double").alias("observed")).dropna(subset=["observed"])
-    sizes = series.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= 2 * period)
-    long_enough = join_dimension(series, sizes, key, "inner").drop("_rows")
+    sizes = series.groupBy(*key).agg((F.count(F.lit(1)) >= 2 * period).alias("_long"))
+    long_enough = join_dimension(series, sizes, key, "inner")
 
     def build(window: WindowSpec) -> dict[str, Column]:
         frame = window.rowsBetween(-half, half)
         total = F.sum("observed").over(frame)
         if period % 2 == 0:
             total = total - (F.lag("observed", half).over(window) + F.lead("observed", half).over(window)) / 2.0
-        full = F.count("observed").over(frame) == 2 * half + 1
+        full = (F.count("observed").over(frame) == 2 * half + 1) & F.col("_long")
         return {"trend": F.when(full, total / period)}
 
     if limit is None or not frames.has_large_group(series, key, limit):

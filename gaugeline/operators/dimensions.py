@@ -12,14 +12,6 @@ from gaugeline.functions import calendar as cal
 from gaugeline.operators.frames import with_positions
 from gaugeline.schema import COUNTRY, SITE_REGIONS, TIMEZONE, SeriesSpec
 
-# A dimension this small in rows may be sent to every executor; a larger one is shuffled.
-BROADCAST_ROWS = 500_000
-
-
-def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    return df.limit(limit + 1).count() <= limit
-
-
 def date_spine(spark: SparkSession, start: dt.date | str, end: dt.date | str) -> DataFrame:
     """Every day from ``start`` up to but not including ``end``."""
     days = F.sequence(F.lit(str(start)).cast("date"), F.date_sub(F.lit(str(end)).cast("date"), 1))
@@ -59,10 +51,7 @@ def location_dimension(raw: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataF
     region = F.coalesce(F.try_element_at(known, F.col(spec.entity)), F.lit("Other"))
     key = [spec.entity, "latitude", "longitude"]
     distinct = raw.select(*key).distinct()
-    if is_small(distinct):
-        numbered = distinct.withColumn("location_id", F.row_number().over(Window.orderBy(*key)))
-    else:
-        numbered = with_positions(distinct, key, "location_id")
+    numbered = with_positions(distinct, key, "location_id")
     return numbered.select(
         "location_id",
         spec.entity,
@@ -74,7 +63,8 @@ def location_dimension(raw: DataFrame, spec: SeriesSpec = SeriesSpec()) -> DataF
     )
 
 
-def join_dimension(fact: DataFrame, dimension: DataFrame, on, how: str = "left", limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast the dimension if it is at most ``limit`` rows, otherwise leave the choice of
-    join to the optimizer (sort-merge, with skewed partitions split at run time)."""
-    return fact.join(F.broadcast(dimension) if is_small(dimension, limit) else dimension, on, how)
+def join_dimension(fact: DataFrame, dimension: DataFrame, on, how: str = "left") -> DataFrame:
+    """The choice of join is the optimizer's: at run time a dimension whose measured size is below
+    ``spark.sql.autoBroadcastJoinThreshold`` is broadcast, a larger one is shuffled, and skewed
+    partitions are split."""
+    return fact.join(dimension, on, how)

@@ -17,7 +17,6 @@ from pyspark.sql.window import Window
 
 from gaugeline.session import written
 
-GROUP_LIMIT = 1_000_000
 BLOCK_ROWS = 100_000
 
 
@@ -96,11 +95,12 @@ def over_rows(
     build: Callable[[WindowSpec], dict[str, Column]],
     before: int,
     after: int = 0,
-    limit: int | None = GROUP_LIMIT,
+    limit: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add the columns ``build(window)`` returns; their frames reach at most ``before`` rows
-    back and ``after`` rows ahead. ``limit=None`` states that groups are known to be small."""
+    back and ``after`` rows ahead. ``limit=None`` states that groups are known to be small; with a
+    number, groups are counted, and if one is larger all are cut into blocks. The values are the same."""
     if limit is None or not has_large_group(df, group, limit):
         return df.withColumns(build(Window.partitionBy(*group).orderBy(*order)))
     return _over_blocks(df, group, order, build, before, after, block_rows)

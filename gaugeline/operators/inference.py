@@ -3,24 +3,19 @@ a row per test or per group; its p-value is a function of that row."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.functions import cdf, labels
+from gaugeline.functions.normal import normal_quantile, polynomial
 from gaugeline.operators import ranks
 from gaugeline.operators.dimensions import join_dimension
 from gaugeline.operators.frames import beside, with_positions
-from gaugeline.operators.profile import hash_sample
 from gaugeline.operators.quantiles import long_form, quantiles
 
-SHAPIRO_LIMIT = 5000
-
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
@@ -59,72 +54,60 @@ def dagostino(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _polynomial(coefficients: Sequence[float], x: float) -> float:
-    return float(np.polyval(coefficients, x))
-
-
-def shapiro_wilk(values: np.ndarray) -> tuple[float, float]:
-    """W and p by Royston's approximation, for up to 5000 values."""
-    x = np.sort(np.asarray(values, dtype=float))
-    n = len(x)
-    if n < 3 or x[0] == x[-1]:
-        return math.nan, math.nan
-    if n == 3:
-        a = np.array([-math.sqrt(0.5), 0.0, math.sqrt(0.5)])
-    else:
-        m = np.array([cdf.normal_quantile((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-        norm = float(m @ m)
-        u = 1.0 / math.sqrt(n)
-        # Royston's (1995) correction polynomials for the extreme weights.
-        last = m[-1] / math.sqrt(norm) + _polynomial((-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, 0.0), u)
-        a = np.empty(n)
-        if n > 5:
-            second = m[-2] / math.sqrt(norm) + _polynomial((-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, 0.0), u)
-            phi = (norm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * last**2 - 2 * second**2)
-            a[2:-2] = m[2:-2] / math.sqrt(phi)
-            a[-2], a[1] = second, -second
-        else:
-            phi = (norm - 2 * m[-1] ** 2) / (1 - 2 * last**2)
-            a[1:-1] = m[1:-1] / math.sqrt(phi)
-        a[-1], a[0] = last, -last
-    w = float((a @ x) ** 2 / np.sum((x - x.mean()) ** 2))
-    w = min(w, 1.0)
-    if n == 3:
-        p = 6.0 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75)))
-        return w, max(p, 0.0)
-    y = math.log(max(1.0 - w, 1e-300))
-    # Royston's (1995) polynomials for the mean and spread of the transformed W.
-    if n <= 11:
-        gamma = _polynomial((0.459, -2.273), n)
-        if y >= gamma:
-            return w, 1e-99
-        y = -math.log(gamma - y)
-        mu = _polynomial((-0.0006714, 0.025054, -0.39978, 0.5440), n)
-        sigma = math.exp(_polynomial((-0.0020322, 0.062767, -0.77857, 1.3822), n))
-    else:
-        log_n = math.log(n)
-        mu = _polynomial((0.0038915, -0.083751, -0.31082, -1.5861), log_n)
-        sigma = math.exp(_polynomial((0.0030302, -0.082676, -0.4803), log_n))
-    return w, 0.5 * math.erfc((y - mu) / sigma / math.sqrt(2.0))
-
-
-def shapiro(df: DataFrame, columns: Sequence[str], key: Sequence[str], seed: int = 42) -> DataFrame:
-    """Shapiro-Wilk per column on a seeded sample of at most 5000 values, the size the test is
-    defined for: (variable, n, w, p_value)."""
-    samples = [
-        hash_sample(df.filter(F.col(c).isNotNull()), key, SHAPIRO_LIMIT, seed).select(
-            F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")
-        )
-        for c in columns
-    ]
+def shapiro(df: DataFrame, columns: Sequence[str], key: Sequence[str]) -> DataFrame:
+    """Shapiro-Wilk per column over all values: (variable, n, w, p_value).
 
-    def per_variable(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, p = shapiro_wilk(pdf["value"].to_numpy())
-        return pd.DataFrame({"variable": [pdf["variable"].iloc[0]], "n": [len(pdf)], "w": [w], "p_value": [p]})
-
-    return union_all(samples).groupBy("variable").applyInPandas(
-        per_variable, "variable string, n long, w double, p_value double"
+    W is the squared correlation of the ordered values with Royston's weights, which follow from the
+    rank alone, so it needs positions and a few sums. The p-value is Royston's approximation, checked
+    by him up to 5000 values; beyond, the same formula is an extrapolation. Fewer than 3 values, or
+    equal ones, give W and p_value NULL.
+    """
+    long = long_form(df, columns, key)
+    placed = with_positions(long, ["value", *key], "i", ["variable"])
+    sizes = long.groupBy("variable").agg(F.count("value").cast("double").alias("n"), F.avg("value").alias("mean"))
+    # One row a variable: small whatever the data.
+    scored = placed.join(F.broadcast(sizes), "variable").withColumn("m", normal_quantile((F.col("i") - 0.375) / (F.col("n") + 0.25)))
+    at = lambda i, c: F.max(F.when(F.col("i") == i, F.col(c)))
+    n = F.col("n")
+    sums = scored.groupBy("variable", "n").agg(
+        F.sum(F.col("m") * F.col("value")).alias("mx"), F.sum(F.col("m") * F.col("m")).alias("mm"),
+        F.sum((F.col("value") - F.col("mean")) ** 2).alias("ss"),
+        at(1, "value").alias("x1"), at(2, "value").alias("x2"), at(n - 1, "value").alias("y2"), at(n, "value").alias("y1"),
+        at(n - 1, "m").alias("m2"), at(n, "m").alias("m1"),
+    )
+    m1, m2, mm, u = F.col("m1"), F.col("m2"), F.col("mm"), 1.0 / F.sqrt(n)
+    # Royston's (1995) correction polynomials for the extreme weights, and those for
+    # the mean and spread of the transformed W.
+    last = m1 / F.sqrt(mm) + polynomial((0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056), u)
+    second = m2 / F.sqrt(mm) + polynomial((0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633), u)
+    log_n = F.log(n)
+    small = n <= 11
+    mu = F.when(small, polynomial((0.5440, -0.39978, 0.025054, -0.0006714), n)).otherwise(
+        polynomial((-1.5861, -0.31082, -0.083751, 0.0038915), log_n)
+    )
+    sigma = F.exp(
+        F.when(small, polynomial((1.3822, -0.77857, 0.062767, -0.0020322), n)).otherwise(
+            polynomial((-0.4803, -0.082676, 0.0030302), log_n)
+        )
+    )
+    two = n > 5  # with up to five values only the outermost weight is corrected
+    phi = F.when(two, (mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * last * last - 2 * second * second)).otherwise(
+        (mm - 2 * m1 * m1) / (1 - 2 * last * last)
     )
+    outer, inner = F.col("y1") - F.col("x1"), F.col("y2") - F.col("x2")
+    middle = (F.col("mx") - m1 * outer - F.when(two, m2 * inner).otherwise(0.0)) / F.sqrt(phi)
+    top = middle + last * outer + F.when(two, second * inner).otherwise(0.0)
+    top = F.when(n == 3, F.sqrt(F.lit(0.5)) * outer).otherwise(top)
+    w = F.when((n >= 3) & (outer > 0), F.least(top * top / F.col("ss"), F.lit(1.0)))
+    y = F.log(F.greatest(1.0 - F.col("w"), F.lit(1e-300)))
+    gap = 0.459 * n - 2.273 - y
+    z = (F.when(small, -F.log(F.greatest(gap, F.lit(1e-300)))).otherwise(y) - mu) / sigma
+    both = sums.withColumn("w", w).withColumn("z", z).withColumn("tails", cdf.p_normal("z"))
+    p = F.when(F.col("z") >= 0, F.col("tails") / 2).otherwise(1.0 - F.col("tails") / 2)
+    exact = 6.0 / F.pi() * (F.asin(F.sqrt("w")) - F.asin(F.sqrt(F.lit(0.75))))
+    p = F.when(n == 3, F.greatest(exact, F.lit(0.0))).when(small & (gap <= 0), 1e-99).otherwise(p)
+    p = F.when(F.col("w").isNotNull(), p)
+    return both.select("variable", n.cast("long").alias("n"), "w", p.alias("p_value"))
 
 
 def qq_points(df: DataFrame, column: str, key: Sequence[str]) -> DataFrame:
@@ -136,7 +119,7 @@ def qq_points(df: DataFrame, column: str, key: Sequence[str]) -> DataFrame:
     n, i = F.col("n"), F.col("position")
     edge = F.pow(F.lit(0.5), 1.0 / n)
     median = F.when(i == n, edge).when(i == 1, 1.0 - edge).otherwise((i - 0.3175) / (n + 0.365))
-    return sized.select("position", cdf.normal_score(median).alias("theoretical"), "ordered")
+    return sized.select("position", normal_quantile(median).alias("theoretical"), "ordered")
 
 
 def qq_line(points: DataFrame) -> DataFrame:

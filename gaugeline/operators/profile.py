@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gaugeline.operators.dimensions import join_dimension
-from gaugeline.operators.frames import beside
+from gaugeline.operators.frames import beside, prefix_sums, with_positions
 from gaugeline.operators.quantiles import DISTINCT_LIMIT, quantiles, thresholds, wide
 from gaugeline.schema import MEASURES
 
@@ -358,6 +358,14 @@ def cumulative_share(df: DataFrame, weight: str, name: str) -> DataFrame:
     )
 
 
+def running_share(df: DataFrame, weight: str, name: str) -> DataFrame:
+    """The same for lists of any length: positions and running sums over ranges, not one window."""
+    falling = df.withColumn("_falling", -F.col(weight))
+    summed = prefix_sums(falling, ["_falling", name], weight, "_earlier")
+    placed = with_positions(summed, ["_falling", name], "position")
+    return placed.withColumn("cumulative", F.col("_earlier") + F.col(weight)).drop("_falling", "_earlier")
+
+
 def count_to_reach(shares: DataFrame, levels: Sequence[float] = (0.9, 0.95)) -> DataFrame:
     """First position at which the running share reaches each level."""
     return shares.agg(
@@ -378,6 +386,6 @@ def outside_thresholds(df: DataFrame, bounds: DataFrame, key: Sequence[str], mea
 
 
 def hash_sample(df: DataFrame, key: Sequence[str], k: int, seed: int = 42) -> DataFrame:
-    """A reproducible random sample of k rows: the k smallest seeded key hashes. Each task keeps
-    its own k, so nothing is sorted as a whole."""
-    return df.withColumn("_h", F.xxhash64(*key, F.lit(seed))).orderBy("_h", *key).limit(k).drop("_h")
+    """A reproducible random sample of k rows: the k smallest md5 sums of key and seed. Each task
+    keeps its own k, so nothing is sorted as a whole."""
+    return df.withColumn("_h", F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key], F.lit(str(seed))))).orderBy("_h", *key).limit(k).drop("_h")

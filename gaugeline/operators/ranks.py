@@ -121,7 +121,7 @@ def concordant_pairs(cells: DataFrame) -> DataFrame:
         .agg(F.sum("upper").alias("upper"), F.sum("lower").alias("lower"))
     )
     placed = prefix_sums(spread, ["y"], "lower", "smaller", ["pair", "digit", "block"])
-    return placed.groupBy("pair").agg(F.sum(F.col("upper") * F.col("smaller")).alias("concordant"))
+    return placed.groupBy("pair").agg(F.sum(F.col("upper").cast("decimal(19,0)") * F.col("smaller").cast("decimal(19,0)")).alias("concordant"))
 
 
 def _tie_terms(cells: DataFrame, axis: str) -> DataFrame:

@@ -99,10 +99,14 @@ def fill_gaps(
     spec: SeriesSpec = WEATHER,
     gates=GATES,
     reach: int = NEIGHBOURS,
-    limit: int | None = frames.GROUP_LIMIT,
+    limit: int | None = None,
     block_rows: int = frames.BLOCK_ROWS,
 ) -> DataFrame:
-    """Fill NULLs from up to ``reach`` rows on either side within the entity's day."""
+    """Fill NULLs from up to ``reach`` rows on either side within the entity's day.
+
+    A day of one entity holds as many rows as it has readings, so its window is small; pass
+    ``limit`` for readings so dense that a day exceeds a task.
+    """
     constant = [g for g in gates if g.gap_value is not None]
     averaged = [g for g in gates if g.gap_value is None]
     df = df.withColumns({g.measure: F.coalesce(F.col(g.measure), F.lit(g.gap_value)) for g in constant})

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from gaugeline.session import new_path, written
 
 MODES = {"append": "append", "replace": "overwrite", "fail": "error"}
-RESULT_ROWS = 1_000_000
-LISTED_DAYS = 1_000
 
 
 def save_table(df: DataFrame, path: str, if_exists: str = "append", partition_by: Sequence[str] = ()) -> None:
@@ -25,10 +23,9 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     save_table(written(df, "replace"), path, "replace", partition_by)
 
 
-def save_result(df: DataFrame, path: str) -> None:
-    """A result-sized frame as one CSV file with a header; a larger frame stays in parts."""
-    small = df.limit(RESULT_ROWS + 1).count() <= RESULT_ROWS
-    (df.coalesce(1) if small else df).write.mode("overwrite").csv(path, header=True)
+def save_result(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """A frame as CSV with a header, in parts, or as one file if the caller says it is small."""
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").csv(path, header=True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -42,14 +39,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def on_days_of(target: DataFrame, batch: DataFrame, day: str) -> DataFrame:
-    """The rows of ``target`` on the days that occur in ``batch``: a constant filter, so a
-    target partitioned by day lists and reads only those partitions. A batch with very many
-    days is covered by its first and last one."""
-    days = [r[0] for r in batch.select(day).distinct().limit(LISTED_DAYS + 1).collect()]
-    if len(days) <= LISTED_DAYS:
-        return target.filter(F.col(day).isin(days)) if days else target.limit(0)
+    """The rows of ``target`` from the first to the last day of ``batch``: a constant filter, so a
+    target partitioned by day lists and reads only those partitions."""
     first, last = batch.agg(F.min(day), F.max(day)).first()
-    return target.filter(F.col(day).between(F.lit(first), F.lit(last)))
+    return target.limit(0) if first is None else target.filter(F.col(day).between(F.lit(first), F.lit(last)))
 
 
 def new_rows(batch: DataFrame, target: DataFrame, key: Sequence[str] = ("record_id",), day: str | None = "date") -> DataFrame:
@@ -60,13 +53,19 @@ def new_rows(batch: DataFrame, target: DataFrame, key: Sequence[str] = ("record_
     return batch.dropDuplicates(list(key)).join(known.select(*match), match, "left_anti")
 
 
+def incomplete(batch: DataFrame, required: Sequence[str] = ("record_id", "datetime")) -> DataFrame:
+    """The rows of a batch that ``append_new`` leaves out, for a table of rejects."""
+    return batch.filter(" or ".join(f"`{c}` is null" for c in required))
+
+
 def append_new(
     batch: DataFrame, path: str, key: Sequence[str] = ("record_id",), time: str = "datetime", day: str = "date"
 ) -> None:
-    """Idempotent load: sending a batch again, or one that overlaps it, adds nothing twice. A
-    target that cannot be read stops the load instead of being taken for empty."""
+    """Idempotent load: sending a batch again, or one that overlaps it, adds nothing twice. Rows
+    without a key or time do not get in (see ``incomplete``). A target that cannot be read stops
+    the load instead of being taken for empty."""
     spark = batch.sparkSession
-    dated = batch.withColumn(day, F.to_date(time))
+    dated = batch.na.drop(subset=[*key, time]).withColumn(day, F.to_date(time))
     if path_exists(spark, path):
         fresh = new_rows(dated, spark.read.parquet(path), key, day)
     else:
@@ -83,17 +82,37 @@ def latest_by_key(df: DataFrame, key: Sequence[str], version: Sequence[str]) ->
     return df.groupBy(*key).agg(newest).select(*[c if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def upsert(df: DataFrame, path: str, key: Sequence[str], version: Sequence[str]) -> DataFrame:
-    """Merge rows into a keyed store and return its new content. The merged table is written
-    beside the old one first; files in place are replaced only after that succeeded."""
+def upsert(df: DataFrame, path: str, key: Sequence[str], version: Sequence[str], day: str | None = None) -> DataFrame:
+    """Merge rows into a keyed store and return its new content. Of rows with equal versions the
+    incoming one wins.
+
+    With ``day``, a date column that is part of the key or fixed for it (a day, or the month of a
+    sparse store), the store is partitioned by it and only the partitions of dates in the batch are
+    read and replaced. The merged rows are complete
+    on storage before anything in place goes.
+    """
     spark = df.sparkSession
-    merged = df
+    merged = df.withColumn("_incoming", F.lit(1))
     if path_exists(spark, path):
-        merged = spark.read.parquet(path).unionByName(df, allowMissingColumns=True)
-    replace_table(latest_by_key(merged, key, version), path)
+        stored = spark.read.parquet(path)
+        if day is not None:
+            touched = df.select(F.col(day).alias("_day")).distinct()
+            stored = on_days_of(stored, df, day).join(touched, F.col(day) == F.col("_day"), "left_semi")
+        merged = stored.withColumn("_incoming", F.lit(0)).unionByName(merged, allowMissingColumns=True)
+    latest = latest_by_key(merged, key, [*version, "_incoming"]).drop("_incoming")
+    if day is None:
+        replace_table(latest, path)
+    else:
+        replace_days(latest, path, day)
     return spark.read.parquet(path)
 
 
+def replace_days(df: DataFrame, path: str, day: str) -> None:
+    """Replace the partitions of the days that ``df`` holds; the others stay untouched."""
+    complete = written(df, "days").hint("rebalance", day)
+    complete.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+
+
 def query(spark: SparkSession, sql: str, **views: DataFrame) -> DataFrame:
     """Run a SQL text over frames registered under the given names."""
     for name, df in views.items():

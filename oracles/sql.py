@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from gaugeline.operators import features as ft
 from gaugeline.schema import MODEL_FEATURES
-from oracles.base import CONDITIONS, FLAGS, PART, SEASON, cols, full, p_normal, p_t, rnd
+from oracles.base import CONDITIONS, FLAGS, PART, SEASON, cols, full, normal_quantile, p_normal, p_t, poly, rnd
 
 ORACLES: dict[str, str] = {}
 MEASURES = ("temperature", "humidity", "precipitation", "pressure", "wind_speed", "wind_direction", "cloud_cover")
@@ -337,13 +337,17 @@ add("E15_ordered_series", "location_name, date d, avg_temperature f", "from ldai
 
 # -- F, G, H
 add("F01_order_by", "o_orderpriority, o_orderkey i", "from orders")
-add("F02_limit", "event_id i, location_name", "from readings")
+add("F02_limit", "records i, different i, known i",
+    "select least(count(*), 1000) as records, least(count(*), 1000) as different, least(count(*), 1000) as known from readings")
 add("F03_head", "event_id i, location_name", "select * from readings order by datetime, event_id limit 10")
 add("F03_tail", "event_id i, location_name", "select * from readings order by datetime desc, event_id desc limit 10")
+SAMPLE = "select * from readings order by md5(event_id || '|{seed}'), event_id limit {n}"
+add("F03_sample", "event_id i, location_name", SAMPLE.format(seed=7, n=10))
+add("F04_hash_sample", "event_id i, wind_speed f", SAMPLE.format(seed=42, n=5000))
 add("F05_top_k", "o_orderkey i, o_totalprice f", "select * from orders order by o_totalprice desc, o_orderkey limit 20")
-add("G01_union_all", "event_id i, location_name", "select event_id, location_name from readings where event_id % 2 = 0 union all select event_id, location_name from readings where event_id % 3 = 0")
+add("G01_union_all", "event_id i, location_name", "select event_id, location_name from readings union all select event_id, location_name from readings")
 add("G02_distinct", "location_name, latitude f, longitude f", "select distinct location_name, latitude, longitude from readings")
-add("G03_difference", "custkey i", "select c_custkey as custkey from customer except select o_custkey from orders where o_totalprice > 400000")
+add("G03_difference", "custkey i", "select c_custkey as custkey from customer except select if(o_custkey % 7 = 0, o_custkey + 1, o_custkey) from orders")
 add("H01_date_spine", "date d", "select cast(unnest(generate_series(min(date), max(date), interval 1 day)) as date) as date from ldaily")
 add("H02_date_dimension", "date_id i, date d, day i, month i, year i, quarter i, day_of_week i, week_of_year i, day_name, month_name, is_weekend i, season",
     f"""select row_number() over (order by date) as date_id, date, day(date) as day, month(date) as month, year(date) as year, quarter(date) as quarter,
@@ -366,18 +370,18 @@ add("I05_valid_humidity", "humidity f, invalid_count i", "select humidity, count
 add("I06_valid_temperature", "temperature f, invalid_count i", "select temperature, count(*) as invalid_count from readings where temperature not between -50 and 60 group by all")
 add("I07_enough_days", "location_name, day_count i, date_range_days i, status",
     """select *, 'Too few records' as status from (select location_name, count(distinct date) as day_count, datediff('day', min(date), max(date)) as date_range_days
-       from orders_daily where day(date) not in (3, 7, 11, 19) group by all) where day_count < date_range_days * 0.9""")
+       from (select location_name, if(day(date) in (3, 7, 11, 19), cast(date_trunc('month', date) as date), date) as date from orders_daily) group by all) where day_count < date_range_days * 0.9""")
 add("I08_quality_at_least", "location_name, avg_quality_score f, min_quality_score i, total_records i",
     """select location_name, avg(data_quality_score) as avg_quality_score, min(data_quality_score) as min_quality_score, count(*) as total_records
        from checked group by all having avg(data_quality_score) < 91""")
 add("I09_continuous_days", "location_name, date d, prev_date d, day_gap i", f"select * from ({GAPS}) where day_gap > 1")
 add("I10_consistent_lag", "location_name, date d, temp_lag_1d f, actual_yesterday_temp f, difference f",
     f"select * from ({RELAG.format('(select * replace (if(day(date) = 5, temp_lag_1d + 0.5e0, temp_lag_1d) as temp_lag_1d) from features)')}) where difference > 0.1")
-add("I11_all_present", "location_name", "select 'n' || n_nationkey as location_name from nation where n_nationkey not in (select s_nationkey from supplier where s_acctbal > 7000)")
+add("I11_all_present", "location_name", "select 'n' || n_nationkey as location_name from nation where n_nationkey not in (select if(s_nationkey % 5 = 0, s_nationkey + 1, s_nationkey) from supplier)")
 add("I12_one_row_per_day", "location_name, date d, record_count i", "select location_name, date, count(*) as record_count from staged group by all having count(*) > 1")
 add("I13_no_future_dates", "location_name, date d, record_count i", "select location_name, date, count(*) as record_count from daily where date > date '2024-01-20' group by all")
 add("I14_non_negative_totals", "location_name, date d, total_precipitation f",
-    f"select location_name, date, {rnd('sum(precipitation)', 2)} as total_precipitation from staged where hour = 3 group by all having sum(precipitation) < 0")
+    f"select location_name, date, {rnd('sum(p)', 2)} as total_precipitation from (select *, if(day(date) % 5 = 0, -precipitation, precipitation) as p from staged) group by all having sum(p) < 0")
 add("I15_plausible_rolling_means", "location_name, date d, avg_temperature f, temp_rolling_7d_prev f, temp_rolling_30d_prev f",
     "from features where abs(avg_temperature - temp_rolling_7d_prev) > 1.5 or abs(avg_temperature - temp_rolling_30d_prev) > 2.0")
 add("I16_ordered_temperatures", "location_name, date d, min_temperature f, avg_temperature f, max_temperature f",
@@ -462,6 +466,23 @@ add("J08_anova", "f f, df_between f, df_within f, p_value f",
 add("J09_kruskal", "h f, df f, p_value f",
     f"""select h, 2 as df, exp(-h / 2) as p_value from (select (12 / (n * (n + 1)) * s - 3 * (n + 1)) / (1 - ties / (n * n * n - n)) as h
     from (select sum(rs * rs / c) as s from (select g, sum(r) as rs, count(*) as c from ({RANKED.format(by='location_name', v='avg_temperature')}) group by g)), {TIES.format(v='avg_temperature')})""")
+QQ = f"""select i as position, {normal_quantile('pos')} as theoretical, v as ordered from (select *, case when i = n then pow(0.5e0, 1e0 / n)
+  when i = 1 then 1 - pow(0.5e0, 1e0 / n) else (i - 0.3175e0) / (n + 0.365e0) end as pos from (select avg_temperature as v,
+  row_number() over (order by avg_temperature, location_name, date) as i, count(*) over () as n from ldaily where avg_temperature is not null))"""
+add("J03_qq_points", "position i, theoretical f, ordered f", QQ)
+add("J03_qq_line", "n i, slope f, intercept f, r f",
+    f"select count(*) as n, regr_slope(ordered, theoretical) as slope, regr_intercept(ordered, theoretical) as intercept, corr(ordered, theoretical) as r from ({QQ})")
+LAST, SECOND = "0e0 0.221157e0 -0.147981e0 -2.071190e0 4.434685e0 -2.706056e0", "0e0 0.042981e0 -0.293762e0 -1.752461e0 5.682633e0 -3.582633e0"
+Z = f"((ln(greatest(1 - w, 1e-300)) - ({poly('-1.5861e0 -0.31082e0 -0.083751e0 0.0038915e0', 'ln(n)')})) / exp({poly('-0.4803e0 -0.082676e0 0.0030302e0', 'ln(n)')}))"
+add("J02_shapiro", "variable, n i, w f, p_value f",
+    f"""select variable, n, w, if(z >= 0, {p_normal('z')} / 2, 1 - {p_normal('z')} / 2) as p_value from (select *, {Z} as z from (
+    select variable, n, least(1, pow(sum(value * case when i = n then l when i = 1 then -l when i = n - 1 then s when i = 2 then -s else m / sqrt(phi) end), 2) / any_value(ss)) as w
+    from (select *, (mm - 2 * m1 * m1 - 2 * m2 * m2) / (1 - 2 * l * l - 2 * s * s) as phi from (
+      select *, m1 / sqrt(mm) + {poly(LAST, '(1 / sqrt(n))')} as l, m2 / sqrt(mm) + {poly(SECOND, '(1 / sqrt(n))')} as s from (
+        select *, sum(m * m) over v as mm, max(m) over v as m1, max(m) filter (i = n - 1) over v as m2, var_pop(value) over v * n as ss from (
+          select *, {normal_quantile('((i - 0.375e0) / (n + 0.25e0))')} as m from (
+            select variable, value, row_number() over (partition by variable order by value) as i, count(*) over (partition by variable) as n
+            from ({stack(DAILY_VARIABLES, 'ldaily')}))) window v as (partition by variable)))) group by variable, n))""")
 add("J10_tukey_differences", "group1, group2, mean_diff f",
     """select a.g as group1, b.g as group2, b.m - a.m as mean_diff from (select location_name as g, avg(avg_temperature) as m from ldaily group by all) a
        join (select location_name as g, avg(avg_temperature) as m from ldaily group by all) b on a.g < b.g""")
@@ -524,7 +545,7 @@ add("K07_single_input_line", "location_name, date d, label f, prediction f",
     """select location_name, date, avg_temperature as label, i + s * temp_rolling_7d_prev as prediction from parted,
        (select regr_slope(avg_temperature, temp_rolling_7d_prev) as s, regr_intercept(avg_temperature, temp_rolling_7d_prev) as i from parted where split = 'train') where split = 'test'""")
 add("K14_metrics_by_site", f"location_name, {METRICS}", metric_sql("lfeatures", "temp_lag_1d", "location_name"))
-add("F06_best_model", "model",
+add("F06_best_baseline", "model",
     f"""select arg_min(model, rmse) as model from (select 'Mean Baseline' as model, rmse from ({metric_sql(f"(select * from {TEST} where split = 'test')", 'base')})
     union all select 'Last Value Baseline', rmse from ({metric_sql("(select * from parted where split = 'test')", 'temp_lag_1d')}))""")
 RESIDUALS = "select date, location_name as location, avg_temperature as actual_temperature, temp_lag_1d as predicted_temperature, avg_temperature - temp_lag_1d as residual, abs(avg_temperature - temp_lag_1d) as absolute_error from parted where split = 'test'"
@@ -537,8 +558,8 @@ add("K18_time_blocks", "fold i, records i, first_date d, last_date d",
 # -- L
 add("L01_distinct_stream", "location_name, records i, ids i", "select location_name, count(*) as records, sum(event_id) as ids from readings group by all")
 STREAMED = GATED
-# A day is emitted once the latest reading is two days past its end.
 add("L02_daily_stream", "date d, location_name, total_hourly_records i, " + ", ".join(f"sum_{m} f, min_{m} f, max_{m} f, avg_{m} f" for m in STREAMED),
     "select date, location_name, count(*) as total_hourly_records, " + ", ".join(f"sum({m}) as sum_{m}, min({m}) as min_{m}, max({m}) as max_{m}, avg({m}) as avg_{m}" for m in STREAMED)
-    + " from staged where date + interval 1 day <= (select date_trunc('milliseconds', max(datetime)) - interval 2 day from staged) group by all")
-add("L03_upsert_stream", "date d, records i, ids i", "select cast(datetime as date) as date, count(*) as records, sum(event_id) as ids from readings group by all")
+    + " from staged group by all")
+add("L03_upsert_stream", "date d, location_name, total_hourly_records i, strongest_wind f",
+    "select cast(datetime as date) as date, location_name, count(*) as total_hourly_records, max(wind_speed + if(datetime >= timestamp '2024-01-10', 1e0, 0e0)) as strongest_wind from readings group by all")

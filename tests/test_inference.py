@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gaugeline.functions import cdf
+from gaugeline.functions.normal import normal_quantile
 from gaugeline.operators import inference as inf
 
 A = [6.11, 4.2, 5.5, 5.9, 7.3, 4.8]
@@ -73,13 +75,49 @@ def test_tukey_of_two_groups_agrees_with_t(spark):
     assert tukey.lower < tukey.mean_diff < tukey.upper and tukey.reject == "Yes"
 
 
-def test_shapiro_known_sample():
-    # Weights of eleven men, the example of Shapiro and Wilk (1965): W = 0.79, p below 0.01
-    w, p = inf.shapiro_wilk(np.array([148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236.0]))
-    assert w == pytest.approx(0.7888, abs=2e-4) and p == pytest.approx(0.0067, abs=3e-4)
+def test_shapiro_known_samples(spark):
+    # "men": weights of eleven men, the example of Shapiro and Wilk (1965): W = 0.79, p below 0.01
     rng = np.random.default_rng(1)
-    assert inf.shapiro_wilk(rng.normal(size=4000))[1] > 0.01
-    assert inf.shapiro_wilk(rng.exponential(size=400))[1] < 1e-10
+    samples = {
+        "men": [148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236.0], "normal": rng.normal(size=7000),
+        "skewed": rng.exponential(size=400), "three": [1, 2, 4.0], "five": [1, 2, 3, 4, 20.0], "two": [1, 2.0], "same": [3.0] * 9,
+    }
+    got = {}
+    for name, values in samples.items():
+        df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "id int, v double")
+        got[name] = inf.shapiro(df, ["v"], ["id"]).first()
+    assert got["men"].w == pytest.approx(0.7888, abs=2e-4) and got["men"].p_value == pytest.approx(0.0067, abs=3e-4)
+    assert got["normal"].n == 7000 and got["normal"].w > 0.999 and got["normal"].p_value > 0.01 and got["skewed"].p_value < 1e-10
+    # For three values W is the squared range over twice the squared deviations.
+    assert got["three"].w == pytest.approx(9 / 2 / (14 / 3)) and got["five"].w < 0.75
+    assert got["two"].w is None and got["same"].w is None and got["same"].p_value is None
+
+
+def test_normal_quantile(spark):
+    from statistics import NormalDist
+
+    ps = [1e-300, 1e-20, 1e-5, 0.01, 0.075, 0.3, 0.5, 0.6, 0.93, 0.999, 0.0, 1.0]
+    df = spark.createDataFrame([(p,) for p in ps], "p double").select(normal_quantile(F.col("p")).alias("z"))
+    got = [r.z for r in df.collect()]
+    assert got[-2:] == [None, None]
+    assert got[:-2] == pytest.approx([NormalDist().inv_cdf(p) for p in ps[:-2]], rel=1e-13, abs=1e-15)
+
+
+def test_tails_hold_for_very_many_rows():
+    normal, chi = cdf.normal_two_sided(1.96), cdf.chi2_sf(5.0, 3.0)
+    for df in (1e10, 1e12, 1e14, 1e15):
+        assert cdf.t_two_sided(1.96, df) == pytest.approx(normal, abs=1e-9)
+        assert cdf.f_sf(5.0 / 3.0, 3.0, df) == pytest.approx(chi, abs=1e-9)
+        assert cdf.studentized_range_sf(3.314, 3, df) == pytest.approx(cdf.studentized_range_sf(3.314, 3, 1e9), abs=1e-8)
+    for df in (3.0, 40.0, 900.0, 5e3, 1e6):  # the two ways of log B agree where both are exact
+        assert cdf.t_two_sided(2.2, df) == pytest.approx(2 * (1 - _t_cdf(2.2, df)), rel=1e-6)
+
+
+def _t_cdf(t, df):
+    x = np.linspace(0, t, 20001)
+    log_c = math.lgamma((df + 1) / 2) - math.lgamma(df / 2)
+    y = np.exp(log_c - 0.5 * np.log(df * np.pi) - (df + 1) / 2 * np.log1p(x * x / df))
+    return 0.5 + float(((y[1:] + y[:-1]) / 2 * np.diff(x)).sum())
 
 
 def test_dagostino_on_normal_and_skewed(spark):

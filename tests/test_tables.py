@@ -97,8 +97,32 @@ def test_upsert_keeps_latest(spark, tmp_path):
 
 def test_result_file_is_single(spark, tmp_path):
     path = tmp_path / "out"
-    tables.save_result(spark.range(10).repartition(4), str(path))
+    tables.save_result(spark.range(10).repartition(4), str(path), single_file=True)
     assert len(list(path.glob("*.csv"))) == 1
+    tables.save_result(spark.range(10).repartition(4), str(path))
+    assert len(list(path.glob("*.csv"))) == 4
+
+
+def test_store_takes_the_newer_of_equal_versions_and_touches_only_its_days(spark, tmp_path):
+    path = str(tmp_path / "store")
+    kind = "k string, day date, version int, v double"
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    tables.upsert(spark.createDataFrame([("a", d, 1, 1.0) for d in days], kind), path, ["k", "day"], ["version"], "day")
+    untouched = {p: p.stat().st_mtime_ns for p in (tmp_path / "store").glob("day=2024-01-0[13]/*.parquet")}
+    again = spark.createDataFrame([("a", days[1], 1, 2.0), ("b", days[1], 1, 3.0)], kind)
+    got = tables.upsert(again, path, ["k", "day"], ["version"], "day").orderBy("day", "k").collect()
+    assert [(r.k, r.day.day, r.v) for r in got] == [("a", 1, 1.0), ("a", 2, 2.0), ("b", 2, 3.0), ("a", 3, 1.0)]
+    assert untouched and {p: p.stat().st_mtime_ns for p in untouched} == untouched
+
+
+def test_rows_without_a_time_never_get_in(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    rows = [("1", dt.datetime(2024, 1, 1)), ("2", None), (None, dt.datetime(2024, 1, 1))]
+    batch = spark.createDataFrame(rows, "record_id string, datetime timestamp_ntz")
+    for _ in range(3):
+        tables.append_new(batch, path)
+        assert spark.read.parquet(path).count() == 1
+    assert tables.incomplete(batch).count() == 2
 
 
 def test_check_store_and_status(spark, tmp_path):
@@ -136,15 +160,16 @@ def test_stream_restart_adds_nothing(spark, tmp_path):
     source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     _batch(spark, 0, 40).write.parquet(source)
     schema = spark.read.parquet(source).schema
+    build = lambda raw: raw.groupBy("date").agg(F.count(F.lit(1)).alias("n"))
 
     def run():
         stream = flows.read_batches(spark, source, schema)
-        flows.start_upsert(stream, target, ["record_id"], "datetime", state).awaitTermination()
-        return spark.read.parquet(target).count()
+        flows.start_daily_mart(stream, f"{target}/raw", f"{target}/mart", ["record_id"], "datetime", build, state).awaitTermination()
+        return spark.read.parquet(f"{target}/raw").count(), spark.read.parquet(f"{target}/mart").agg(F.sum("n")).first()[0]
 
-    assert run() == 40 and run() == 40
+    assert run() == (40, 40) and run() == (40, 40)
     _batch(spark, 30, 50).write.mode("append").parquet(source)
-    assert run() == 50
+    assert run() == (50, 50)
 
 
 def test_late_rows_are_dropped_from_closed_days(spark, tmp_path):
@@ -158,7 +183,7 @@ def test_late_rows_are_dropped_from_closed_days(spark, tmp_path):
     def run():
         stream = flows.read_batches(spark, source, spark.read.parquet(source).schema)
         totals = flows.daily_totals(stream, late="1 day", measures=("temperature",))
-        flows.start_append(totals, target, state).awaitTermination()
+        flows.start_daily_store(totals, target, state).awaitTermination()
 
     send([0, 0, 1, 5])
     run()
