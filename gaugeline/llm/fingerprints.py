@@ -22,7 +22,7 @@ LANES, SKETCHES, RATE = 64, 3, 8
 IDENTITY = 4
 HEX = 8 * (IDENTITY + 1) + 2 * LANES * SKETCHES
 #: Buckets of the neighbour search hold about so many rows.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 10_000
 
 
 def paragraphs(text: Column) -> Column:
@@ -34,8 +34,9 @@ def pieces(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"\n|(?<=[.!?])[ ]"), lambda p: p != "")
 
 
-def _total(values: Column, modulus: int) -> Column:
-    return F.aggregate(values, F.lit(0).cast("long"), lambda a, v: (a + v) % modulus)
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _sketch(hashes: Column, level: int) -> Column:
@@ -54,12 +55,15 @@ def _hex32(value: Column) -> Column:
 
 def fingerprint(text: Column) -> Column:
     """The fingerprint of a text as 424 hexadecimal digits; null counts as empty."""
-    whole = F.transform(paragraphs(text), lambda p: F.sha2(p, 256))
     part = lambda s, i: F.conv(F.substring(s, 8 * i + 1, 8), 16, 10).cast("long")
-    identity = [_hex32(_total(F.transform(whole, lambda s: part(s, i)), 1 << 32)) for i in range(IDENTITY)]
+    zero = F.array_repeat(F.lit(0).cast("long"), IDENTITY)
+    add = lambda sums, p: _bound(
+        F.sha2(p, 256), lambda s: F.array(*[(F.get(sums, F.lit(i)) + part(s, i)) % (1 << 32) for i in range(IDENTITY)])
+    )
+    identity = F.aggregate(paragraphs(text), zero, add, lambda sums: F.array_join(F.transform(sums, _hex32), ""))
     hashes = F.transform(pieces(text), lambda p: F.xxhash64(p))
-    count = _hex32(F.size(hashes).cast("long"))
-    return F.lower(F.concat(*identity, count, *[_sketch(hashes, level) for level in range(SKETCHES)]))
+    rest = _bound(hashes, lambda h: F.concat(_hex32(F.size(h).cast("long")), *[_sketch(h, level) for level in range(SKETCHES)]))
+    return F.lower(F.concat(identity, rest))
 
 
 def combined(a: Column, b: Column, sign: int = 1) -> Column:
@@ -115,19 +119,29 @@ def neighbours(docs: DataFrame, key: str, text: str, rows: int = BUCKET_ROWS) ->
     heads = narrow.select("_order").groupBy(bucket.alias("b")).agg(F.max("_order").alias("head"))
     firsts = {r["b"]: r["head"] for r in heads.collect()}  # one row for each range
     used = sorted(firsts)
-    if not used:
-        return narrow.select("_key", "_text", F.lit(None).cast("string").alias("_next"))
     # In descending order a range is followed by the used range below it, the last by the first.
     above = {b: used[(i + 1) % len(used)] for i, b in enumerate(used)}
-    head_of = F.array(*[F.lit(firsts.get(b)).cast("long") for b in range(len(bounds) + 1)])
-    host_of = F.array(*[F.lit(above.get(b)).cast("int") for b in range(len(bounds) + 1)])
+    every = range(len(bounds) + 1)
+    head = F.get(_numbers([firsts.get(b, 0) for b in every]), F.col("_bucket"))
+    host = F.get(_numbers([above.get(b, 0) for b in every]), F.col("_bucket")).cast("int")
     own = F.struct(F.col("_bucket").alias("b"), F.lit(False).alias("guest"))
-    guest = F.struct(F.get(host_of, F.col("_bucket")).alias("b"), F.lit(True).alias("guest"))
-    placed = narrow.withColumn("_bucket", bucket).withColumn(
-        "_place", F.explode(F.when(F.col("_order") == F.get(head_of, F.col("_bucket")), F.array(own, guest)).otherwise(F.array(own)))
+    guest = F.struct(host.alias("b"), F.lit(True).alias("guest"))
+    placed = (
+        narrow.withColumn("_bucket", bucket)
+        .withColumn("_place", F.explode(F.when(F.col("_order") == head, F.array(own, guest)).otherwise(F.array(own))))
+        .select("_key", "_text", "_order", F.col("_place.b").alias("_range"), F.col("_place.guest").alias("_guest"), F.xxhash64("_text").alias("_tie"))
     )
-    window = Window.partitionBy("_place.b").orderBy(F.col("_place.guest"), F.col("_order").desc(), F.xxhash64("_text"), "_text")
-    return placed.withColumn("_next", F.lead("_text").over(window))
+    return placed.withColumn("_next", F.lead("_text").over(_in_order()))
+
+
+def _in_order():
+    """The window over a range in descending order, guests at the end."""
+    return Window.partitionBy("_range").orderBy("_guest", F.col("_order").desc(), "_tie", "_text")
+
+
+def _numbers(values: list[int]) -> Column:
+    """An array constant of any length as one short expression."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
 def _bounds(keys: DataFrame, rows: int) -> list[int]:
@@ -143,14 +157,12 @@ def _bounds(keys: DataFrame, rows: int) -> list[int]:
 
 def _bucket(value: Column, bounds: list[int]) -> Column:
     """The number of bounds at or below the value, by halving."""
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value >= F.lit(bounds[middle]), search(middle + 1, high)).otherwise(search(low, middle))
-
-    return search(0, len(bounds)).cast("int")
+    if not bounds:
+        return F.lit(0)
+    array, step = _numbers(bounds), 1 << (len(bounds).bit_length() - 1)
+    steps = F.array(*[F.lit(step >> i) for i in range(step.bit_length())])
+    take = lambda at, s: F.when((at + s <= len(bounds)) & (F.get(array, at + s - 1) <= value), at + s).otherwise(at)
+    return F.aggregate(steps, F.lit(0), take)
 
 
 def edited(text: Column, after: Column) -> Column:
@@ -169,12 +181,9 @@ def document_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "tex
     neighbour, and an empty table gives no rows. Other columns are not read.
     """
     near = neighbours(docs, key, text, rows)
-    if "_place" not in near.columns:
-        near = near.withColumn("_place", F.struct(F.lit(0).alias("b"), F.lit(False).alias("guest"))).withColumn("_order", F.lit(0))
     changed = near.withColumns({"_edited": edited(F.col("_text"), F.col("_next")), "_print": fingerprint(F.col("_text"))})
-    # The order and ranges of the first window hold here too: no second shuffle or sort.
-    window = Window.partitionBy("_place.b").orderBy(F.col("_place.guest"), F.col("_order").desc(), F.xxhash64("_text"), "_text")
-    after = changed.withColumn("_after", F.lead("_print").over(window)).filter(~F.col("_place.guest"))
+    # Same ranges and order as before: no second shuffle or sort.
+    after = changed.withColumn("_after", F.lead("_print").over(_in_order())).filter(~F.col("_guest"))
     done = after.withColumn("_edited_print", fingerprint(F.col("_edited")))
     return done.select(
         F.col("_key").alias(key),
