@@ -156,7 +156,7 @@ def test_decomposition_adds_up(spark, period):
         if r.trend is not None:
             assert r.trend + r.seasonal + r.resid == pytest.approx(r.observed)
     assert sum(r.seasonal for r in got[:period]) == pytest.approx(0.0, abs=1e-9)
-    blocks = decompose.seasonal_decompose(df, "v", period, limit=4, block_rows=5).orderBy("date").collect()
+    blocks = decompose.seasonal_decompose(df.filter("location_name = 'a'"), "v", period, limit=4, block_rows=5).orderBy("date").collect()
     for one, two in zip(got, blocks, strict=True):
         assert (one.date, one.trend is None) == (two.date, two.trend is None)
         assert one.seasonal == pytest.approx(two.seasonal, abs=1e-9)
