@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from gaugeline.operators import features as ft
+from oracles import lists as ft
 
 AS_OF = "date '2030-01-01'"
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from gaugeline.operators import features as ft
-from gaugeline.schema import MODEL_FEATURES
+from oracles import lists as ft
 from oracles.base import CONDITIONS, FLAGS, PART, SEASON, cols, full, normal_quantile, p_normal, p_t, poly, rnd
 
+MODEL_FEATURES = ft.MODEL_FEATURES
+REGION = "case location_name " + " ".join(f"when '{s}' then '{r}'" for s, r in ft.REGIONS.items()) + " else 'Other' end"
 ORACLES: dict[str, str] = {}
 MEASURES = ("temperature", "humidity", "precipitation", "pressure", "wind_speed", "wind_direction", "cloud_cover")
 GATED = MEASURES[:5]
@@ -51,6 +52,7 @@ add("A07_full_replace", "event_id i, location_name, wind_speed f", "from reading
 add("A08_table_modes", "location_name, records i", "select location_name, 2 * count(*) as records from readings group by all")
 add("A09_result_csv", "location_name, wind_speed_count i, wind_speed_min f, wind_speed_max f",
     "select location_name, count(wind_speed) as wind_speed_count, min(wind_speed) as wind_speed_min, max(wind_speed) as wind_speed_max from readings group by all")
+# The season of each month and its attributes.
 SEASON_ROWS = """(select * from (values (1, 'Dry Season', 'Cool', '15-25', 'Low'), (2, 'Dry Season', 'Cool', '16-26', 'Low'),
   (3, 'Dry Season', 'Warm', '18-28', 'Low'), (4, 'Dry Season', 'Hot', '22-33', 'Low'), (5, 'Rainy Season', 'Hot', '24-34', 'Medium'),
   (6, 'Rainy Season', 'Hot', '25-34', 'High'), (7, 'Rainy Season', 'Hot', '25-34', 'High'), (8, 'Rainy Season', 'Hot', '25-33', 'High'),
@@ -110,6 +112,7 @@ add("B18_quarter_label", "month_group, n i", "select 'Q' || quarter as month_gro
 HOT = """select *, avg_temperature > t as is_hot, avg_humidity > h as is_very_humid from ldaily,
   (select quantile_cont(avg_temperature, 0.75) as t, quantile_cont(avg_humidity, 0.75) as h from ldaily)"""
 add("B19_above_quantile", "location_name, date d, is_hot i, is_very_humid i", HOT)
+# The valid range of each measure.
 LIMITS = "(values ('temperature', -50, 60), ('humidity', 0, 100), ('precipitation', 0, 500), ('pressure', 950, 1050), ('wind_speed', 0, 150), ('cloud_cover', 0, 100)) as b(metric, lo, hi)"
 add("B20_threshold_table", "event_id i, metric, value f",
     f"select event_id, metric, value from ({stack(MEASURES, 'readings', 'event_id')}) s join {LIMITS} on s.variable = metric where value < lo or value > hi")
@@ -121,8 +124,8 @@ add("C01_missing_sites", "location_name",
     "select v as location_name from unnest(['Hanoi', 'Ho Chi Minh City', 'Da Nang', 'Can Tho', 'Hai Phong']) as t(v) where v not in (select location_name from ldaily)")
 add("C02_keys_not_in_set", "key i", "select o_orderkey as key from orders where o_orderkey not in (select l_orderkey from lineitem)")
 add("C03_star_join", "location_id i, date_id i, region, weekday, avg_temperature f",
-    """select dense_rank() over (order by location_name) as location_id, datediff('day', min(date) over (), date) + 1 as date_id,
-       case location_name when 'Hanoi' then 'Northern' when 'Da Nang' then 'Central' else 'Southern' end || ' Vietnam' as region,
+    f"""select dense_rank() over (order by location_name) as location_id, datediff('day', min(date) over (), date) + 1 as date_id,
+       {REGION} as region,
        day_name as weekday, avg_temperature from ldaily""")
 add("C04_season_attributes", "season_type, rainfall_level, days i, avg_temperature f",
     f"select season_type, rainfall_level, count(*) as days, avg(avg_temperature) as avg_temperature from ldaily join {SEASON_ROWS} s using (month) group by all")
@@ -354,8 +357,8 @@ add("H02_date_dimension", "date_id i, date d, day i, month i, year i, quarter i,
         dayofweek(date) as day_of_week, week(date) as week_of_year, dayname(date) as day_name, monthname(date) as month_name, isodow(date) >= 6 as is_weekend,
         {SEASON.replace('month', 'month(date)')} as season from (select cast(unnest(generate_series(min(date), max(date), interval 1 day)) as date) as date from ldaily)""")
 add("H03_location_dimension", "location_id i, location_name, latitude f, longitude f, country, region, timezone",
-    """select row_number() over (order by location_name, latitude) as location_id, *, 'Vietnam' as country,
-       case location_name when 'Hanoi' then 'Northern' when 'Da Nang' then 'Central' else 'Southern' end || ' Vietnam' as region,
+    f"""select row_number() over (order by location_name, latitude) as location_id, *, 'Vietnam' as country,
+       {REGION} as region,
        'Asia/Ho_Chi_Minh' as timezone from (select distinct location_name, latitude, longitude from shipments)""")
 add("H04_regular_days", "location_name, date d, orders i",
     """select s.location_name, s.date, o.orders from (select location_name, cast(unnest(generate_series(min(date), max(date), interval 1 day)) as date) as date
