@@ -26,10 +26,14 @@ HEADLINE = (
     "D25_correlation_matrix",
     "I09_continuous_days",
     "J06_mann_whitney",
+    "I18_check_suite",
+    "J02_shapiro",
+    "J03_qq_points",
     "J08_anova",
     "J14_kendall",
     "K03_time_split",
     "K08_ridge",
+    "K12_random_forest",
     "L02_daily_stream",
 )
 

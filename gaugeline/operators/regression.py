@@ -285,6 +285,12 @@ def grid_scores(spark: SparkSession, found: CrossValidatorModel) -> DataFrame:
     return spark.createDataFrame(rows, "params string, rmse double").orderBy("rmse", "params")
 
 
+def best_parameters(found: CrossValidatorModel) -> dict:
+    """The combination with the lowest mean error; of equal ones the first."""
+    scores = list(found.avgMetrics)
+    return found.getEstimatorParamMaps()[scores.index(min(scores))]
+
+
 def forecast_pipeline(train: DataFrame, estimator, columns: Sequence[str] = MODEL_FEATURES) -> PipelineModel:
     """Imputation, scaling, assembly and model as one fitted, storable unit."""
     columns = list(columns)

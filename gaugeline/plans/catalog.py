@@ -1284,19 +1284,27 @@ def _(spark, sf):
     return rg.cv_summary(rg.expanding_cv(rg.training_set(train), models))
 
 
-@query("K19_grid_search")
-def _(spark, sf):
-    train, _ = _split(spark, sf)
+def _searched(train):
+    """A reduced grid of small forests; the declared one is ``rg.FOREST_GRID``."""
     forest = rg.random_forest(trees=10, depth=5)
     grid = rg.forest_grid(forest, trees=(5, 10), depth=(4, 6), min_split=(10, 20), min_leaf=(1,))
-    return rg.grid_scores(spark, rg.grid_search(rg.training_set(train), forest, grid))
+    return forest, rg.grid_search(rg.training_set(train), forest, grid)
+
+
+@query("K19_grid_search")
+def _(spark, sf):
+    return rg.grid_scores(spark, _searched(_split(spark, sf)[0])[1])
 
 
 @query("K20_stored_pipeline")
 def _(spark, sf):
-    split = rg.split_by_time(_frame(spark, sf))
+    """The best of the search, refitted on all training rows, stored, loaded and scored."""
+    split = written(rg.split_by_time(_frame(spark, sf)), "split")
+    train = split.filter("split = 'train'")
+    forest, found = _searched(rg.impute_means(train))
+    winner = forest.copy(rg.best_parameters(found))
     path = tables.scratch(spark, "model")
-    rg.save_model(rg.forecast_pipeline(split.filter("split = 'train'"), rg.least_squares()), path)
+    rg.save_model(rg.forecast_pipeline(train, winner), path)
     scored = rg.load_model(path).transform(split.filter("split = 'test'"))
     return rg.metrics(scored.select("label", "prediction"))
 
