@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from gaugeline.ship import ship
 
 #: Texts are worked on in slices of whole rows of about so many bytes (a longer text is one slice).
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 6 << 20
 
 #: ASCII white space: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = np.zeros(256, bool)
@@ -43,8 +43,12 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The sum of ``values`` over each range between neighbouring offsets."""
-    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-    return total[offsets[1:]] - total[offsets[:-1]]
+    kind = np.result_type(np.asarray(values).dtype, np.int64)
+    out = np.zeros(len(offsets) - 1, kind)
+    some = offsets[1:] > offsets[:-1]
+    if some.any():
+        out[some] = np.add.reduceat(values[: offsets[-1]], offsets[:-1][some], dtype=kind)
+    return out
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
