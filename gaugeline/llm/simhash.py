@@ -31,6 +31,8 @@ from gaugeline.session import written
 from gaugeline.ship import ship
 
 BITS = 64
+#: Shingles whose bits are counted at a time.
+BLOCK = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -73,23 +75,17 @@ def fingerprint_texts(texts: pa.Array, setting: NearDup) -> np.ndarray:
         stops = np.concatenate([spaces, [len(text)]])[width - 1 :].tolist()
         hashes.extend(array("Q", [hashed(text[s:e], seed) for s, e in zip(starts, stops)]))
         counts[row] = len(starts)
+    votes, ends = np.zeros((len(texts), BITS), np.int64), np.cumsum(counts)
     values = np.frombuffer(hashes, np.uint64) if hashes else np.zeros(0, np.uint64)
-    out = np.zeros(len(texts), np.uint64)
-    ends = np.cumsum(counts)
-    step, low = 0, 0
-    while low < len(texts):  # bits of about a million shingles at a time
-        high = max(low + 1, int(np.searchsorted(ends, step + (1 << 20), "right")))
-        part = values[step : int(ends[high - 1])]
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little") if len(part) else np.zeros((0, BITS), np.uint8)
-        own = counts[low:high]
-        some = own > 0
-        if some.any():
-            at = (np.cumsum(own) - own)[some]
-            votes = np.add.reduceat(bits, at, axis=0, dtype=np.int64)
-            major = (2 * votes > own[some][:, None]).astype(np.uint8)
-            out[low:high][some] = np.packbits(major, axis=1, bitorder="little").view("<u8").ravel()
-        low, step = high, int(ends[high - 1])
-    return out
+    for low in range(0, len(values), BLOCK):  # a block may end within a text
+        part = values[low : low + BLOCK]
+        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        first, last = np.searchsorted(ends, [low, low + len(part) - 1], "right")
+        rows = first + np.flatnonzero(counts[first : last + 1])
+        at = np.maximum(ends[rows] - counts[rows], low) - low
+        votes[rows] += np.add.reduceat(bits, at, axis=0, dtype=np.int32)
+    major = (2 * votes > counts[:, None]).astype(np.uint8)
+    return np.packbits(major, axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
 
 
 def fingerprints(docs: DataFrame, setting: NearDup = NearDup(), key: str = "doc_id", text: str = "text") -> DataFrame:  # noqa: B008
