@@ -393,6 +393,11 @@ def representatives(docs: DataFrame, setting: NearDup = NearDup(), key: str = "d
     """One row of each component, with all its columns: that of the smallest key (nulls last, then
     by a hash of the text; of repeated rows one)."""
     found = written(grouped(docs, setting, key, text).select(F.col(key).alias("_key"), "component_id", F.col("text_hash").alias("_hash")), "grouped")
+    return first_rows(docs, found, key, text)
+
+
+def first_rows(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
+    """The representatives by ``_key``, ``_hash`` (of the text) and ``component_id`` of every row."""
     first = found.groupBy("component_id").agg(
         F.min(F.struct(F.col("_key").isNull().alias("none"), "_key", "_hash")).alias("first")
     )
