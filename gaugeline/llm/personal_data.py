@@ -2,7 +2,7 @@
 
 The patterns' spans in the corpus label windows of characters; a bounded sample of these, with
 varied spellings, trains a bidirectional LSTM with CRF transitions. It then reads overlapping windows
-around every digit, at sign and spelled-out address. Each character takes its tag from the window in
+around every digit, at sign and spelled-out address in any case of letters. Each character takes its tag from the window in
 which it lies furthest from the edges, so the spans of a document are put together over all windows;
 a proposed span counts if its form fits its kind and it touches no pattern span.
 """
@@ -46,9 +46,9 @@ DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: A text or window without one of these holds no span of the four kinds.
-TRIGGER = r"[0-9@]|[\[(] ?at ?[\])]|\bdot\b"
-TRIGGERS = re.compile(TRIGGER)
+#: A text without one of these holds no span of the four kinds, nor a window without one of the second.
+TRIGGER = r"(?i)[0-9@]|\b(?:at|dot)\b"
+TRIGGERS = re.compile(r"(?i)[0-9@]|[\[(]\s?at\s?[\])]|\bdot\b|\bat\b\s?[\w-]++(?:\.[\w-]++)++")
 
 
 def luhn(digits: str) -> bool:
@@ -104,12 +104,18 @@ def symbols_of(text: str) -> np.ndarray:
 
 
 def windows_of(text: str, settings: Settings) -> list[int]:
-    """Starts of the windows on the grid of strides that hold a trigger."""
+    """Starts of the windows on the grid of strides that hold a part of a trigger, or of the name before
+    a bare at."""
     size, stride = settings.window, settings.stride
     found: set[int] = set()
     for match in TRIGGERS.finditer(text):
-        low = max(0, -(-(match.start() - size + 1) // stride))
-        found.update(range(low * stride, match.start() + 1, stride))
+        start, end = match.span()
+        if end - start > 3 and match[0][0] in "aA":
+            start -= start > 0 and text[start - 1].isspace()
+            while start > 0 and (text[start - 1].isalnum() or text[start - 1] in LOCAL):
+                start -= 1
+        low = max(0, -(-(start - size + 1) // stride))
+        found.update(range(low * stride, end, stride))
     return sorted(found)
 
 
@@ -119,12 +125,15 @@ def padded(symbols: np.ndarray, starts: list[int], size: int) -> np.ndarray:
 
 
 ADDED = (
-    re.compile(r"[\w.%+-]{2,}\s?(?:@|[\[(]\s?at\s?[\])]|\bat\b)\s?[\w-]+(?:(?:\.|\s?[\[(]?\s?\bdot\b\s?[\])]?\s?)[\w-]+)+"),
+    re.compile(r"(?i)(?:[\w.%+-]+\s?[\[(]?\s?\bdot\b\s?[\])]?\s?)*[\w.%+-]{2,}\s?(?:@|[\[(]\s?at\s?[\])]|\bat\b)\s?[\w-]+(?:(?:\.|\s?[\[(]?\s?\bdot\b\s?[\])]?\s?)[\w-]+)+"),
     re.compile(r"[0-9]{1,3}(?: ?[\[(]?[.,][\])]? ?[0-9]{1,3}){3}"),
     re.compile(r"[0-9](?:[ .\-]?[0-9]){12,18}"),
     re.compile(r"(?:\+|\(|00|[0-9])[0-9 ().\-/]*[ ().\-/][0-9 ().\-/]*[0-9]"),
 )
 
+#: No address is longer.
+ADDRESS = 320
+
 
 def fits(text: str, kind: int, start: int, end: int) -> bool:
     """Whether a proposed span has the form of its kind and stands free."""
@@ -137,7 +146,8 @@ def fits(text: str, kind: int, start: int, end: int) -> bool:
 
 
 def added_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
-    """Runs of equal tags that fit their kind and touch no pattern span."""
+    """Runs of equal tags that fit their kind, and addresses that a run of the kind lies on, that touch
+    no other span."""
     taken = np.zeros(len(text) + 1, bool)
     for _, s, e in base:
         taken[s:e] = True
@@ -151,8 +161,15 @@ def added_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
             start += 1
         while end > start and not text[end - 1].isalnum():
             end -= 1
-        if start < end and not taken[start:end].any() and fits(text, kind, start, end):
-            out.append((kind, start, end))
+        spans = [(start, end)] if start < end else []
+        if spans and kind == 0 and not fits(text, kind, start, end):
+            # The tags say that there is an address, its form where it begins and ends.
+            near = ADDED[0].finditer(text, max(0, start - ADDRESS), end + ADDRESS)
+            spans = [m.span() for m in near if m.start() < end and m.end() > start]
+        for s, e in spans:
+            if not taken[s:e].any() and fits(text, kind, s, e):
+                out.append((kind, s, e))
+                taken[s:e] = True
     return out
 
 
@@ -234,9 +251,11 @@ def varied(text: str, tags: str, draw: np.random.Generator) -> tuple[str, str]:
         if tag != "0":
             part = "".join(str(draw.integers(10)) if "0" <= c <= "9" else c for c in part)
         if tag == "1" and draw.random() < 0.6:
-            part = part.replace("@", draw.choice([" at ", " (at) ", "[at]", " [at] ", "(at)"]))
+            upper = draw.random() < 0.2
+            spelled = lambda x: x.upper() if upper else x
+            part = part.replace("@", spelled(draw.choice([" at ", " (at) ", "[at]", " [at] ", "(at)"])))
             if draw.random() < 0.7:
-                part = part.replace(".", draw.choice([" dot ", " (dot) ", "[dot]"]))
+                part = part.replace(".", spelled(draw.choice([" dot ", " (dot) ", "[dot]"])))
         elif tag == "2" and draw.random() < 0.3:
             part = part.replace(".", draw.choice(["[.]", " . ", "(.)"]))
         elif tag == "3":
