@@ -1,11 +1,12 @@
 """Main text of web pages by comparing each page with its nearest neighbour by URL.
 
-Pages of a host are ordered by URL path; of the page before and the page after, the one whose path
-begins alike for longer is the partner. The text lines of both are aligned by a longest common
-subsequence, and what they share is template, not article: those lines go. Lines that a page marks
-as article or main text are kept even so, as a passage may well be quoted twice, and a partner that
-shares most of a page is a copy of it and tells nothing. What remains of menus, footers, adverts,
-forms and the like is told by its element.
+Pages of a host are ordered by URL path; of the nearest page before and the nearest after that are no
+copies of it, the one whose path begins alike for longer is the partner. The text lines of both are
+aligned by a longest common subsequence, and what they share is template, not article: those lines
+go, in whatever element they lie. A copy is told by what remains: no line of its own on one side or,
+where one line remains, an article or main element that is mostly shared. Menus, footers, adverts,
+forms and the like are told by their element, and so is the article of a page without a partner or
+whose partner shares nothing with it.
 
 Only hashes of lines travel for the comparison; the pages themselves are parsed where they are read.
 """
@@ -186,18 +187,28 @@ def shared(a: list[int], b: list[int]) -> list[int]:
     return sorted(out)
 
 
-def template_lines(lines: list[int], zones: list[int], partners: list[list[int]]) -> list[int]:
-    """Places of the lines that a page shares with its partner. The first partner that is no copy of
-    the page counts."""
-    marked = MAIN in zones
+Outline = tuple[list[int], list[int]]  # hashes and zones of the lines
+
+
+def compared(page: Outline, partner: Outline) -> tuple[list[int], bool]:
+    """Places of the lines that a page shares with another, and whether the two are copies."""
+    (lines, zones), (others, other_zones) = page, partner
+    places = shared(lines, others)
+    common = sum(zones[i] != CHROME for i in places)
+    own = sum(z != CHROME for z in zones) - common
+    left = min(own, sum(z != CHROME for z in other_zones) - common)
+    main = sum(z == MAIN for z in zones)
+    return places, left <= 0 or (left == 1 and 2 * sum(zones[i] == MAIN for i in places) > main)
+
+
+def template_lines(page: Outline, partners: list[Outline]) -> list[int] | None:
+    """Places of the lines that a page shares with its partner, the first that is no copy of it. None
+    if there is no such partner or it shares nothing."""
     for partner in partners:
-        places = shared(lines, partner)
-        if marked:
-            return [i for i in places if zones[i] != MAIN]
-        content = sum(z != CHROME for z in zones)
-        if 2 * sum(zones[i] != CHROME for i in places) <= content or not content:
-            return places
-    return []
+        places, copy = compared(page, partner)
+        if not copy:
+            return places or None
+    return None
 
 
 # -- on tables ----------------------------------------------------------------------------------
@@ -226,29 +237,32 @@ def _outlined(pages: DataFrame) -> DataFrame:
 
 
 def with_neighbours(outlined: DataFrame) -> DataFrame:
-    """Add ``before`` and ``after``: host, path and lines of the neighbours in URL order.
+    """Add ``before`` and ``after``: host, path, lines and zones of the neighbours in URL order.
 
     Rows are range-partitioned on (host, path), so a host of any size is spread over tasks; the first
     and last row of each range, one of each, tell the neighbouring ranges.
     """
-    order = ["host", "path", "_key", "_row"]
-    placed = written(outlined.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "outlines")
-    window = Window.partitionBy("_part").orderBy(*order)
-    view, place = F.struct("host", "path", "lines"), F.struct(*order)
+    placed = written(outlined.repartitionByRange(*ORDER).withColumn("_part", F.spark_partition_id()), "outlines")
+    window = Window.partitionBy("_part").orderBy(*ORDER)
+    view, place = F.struct("host", "path", "lines", "zones"), F.struct(*ORDER)
     ends = placed.groupBy("_part").agg(F.min_by(view, place).alias("_first"), F.max_by(view, place).alias("_last"))
     row = Window.orderBy("_part")  # one row for each range
     around = ends.select("_part", F.lag("_last").over(row).alias("_earlier"), F.lead("_first").over(row).alias("_later"))
     inside = placed.withColumns({"before": F.lag(view).over(window), "after": F.lead(view).over(window)})
     return inside.join(around, "_part").withColumns(
         {"before": F.coalesce("before", "_earlier"), "after": F.coalesce("after", "_later")}
-    )
+    ).drop("_earlier", "_later")
+
+
+ORDER = ["host", "path", "_key", "_row"]
 
 
 def template_places(pages: DataFrame) -> DataFrame:
     """``_key``, ``_row`` and ``gone``, the line numbers that each page shares with its partner."""
     ddl = f"_key {pages.schema['_key'].dataType.simpleString()}, _row bigint, gone array<int>"
     schema = pa_schema(ddl)
-    compared = with_neighbours(_outlined(pages)).select("_key", "_row", "host", "path", "lines", "zones", "before", "after")
+    near = with_neighbours(_outlined(pages))
+    sided = near.select("_key", "_row", "host", "path", "lines", "zones", "before", "after")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,17 +270,22 @@ def template_places(pages: DataFrame) -> DataFrame:
             for row in batch.select(["host", "path", "lines", "zones", "before", "after"]).to_pylist():
                 sides = [s for s in (row["before"], row["after"]) if s and row["host"] and s["host"] == row["host"]]
                 sides.sort(key=lambda s: -len(commonprefix([row["path"], s["path"]])))
-                gone.append(template_lines(row["lines"], row["zones"], [s["lines"] for s in sides]))
+                gone.append(template_lines((row["lines"], row["zones"]), [(s["lines"], s["zones"]) for s in sides]))
             yield batch_of(_key=batch["_key"], _row=batch["_row"], gone=pa.array(gone, pa.list_(pa.int32()))).cast(schema)
 
-    return compared.mapInArrow(run, ddl)
+    return sided.mapInArrow(run, ddl)
 
 
 def main_text(page: str, gone: list[int] | None) -> str:
+    """The lines that are neither template nor chrome; of a page that was not compared (None), those
+    that its elements mark as the article, if any."""
     lines, zones = lines_of(page)
-    wanted = MAIN if MAIN in zones else PLAIN
+    if gone is None:
+        wanted = {MAIN if MAIN in zones else PLAIN}
+    else:
+        wanted = {MAIN, PLAIN}
     out = set(gone or ())
-    return " ".join(x for i, (x, z) in enumerate(zip(lines, zones)) if z == wanted and i not in out)
+    return " ".join(x for i, (x, z) in enumerate(zip(lines, zones)) if z in wanted and i not in out)
 
 
 def page_texts(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
