@@ -257,11 +257,53 @@ def with_neighbours(outlined: DataFrame) -> DataFrame:
 ORDER = ["host", "path", "_key", "_row"]
 
 
+def past_copies(near: DataFrame) -> DataFrame:
+    """``before`` and ``after`` moved past the copies next to a page, over any number of them.
+
+    A neighbour that is a copy is taken out. A row without one then takes that of the nearest row on
+    that side that has one, which lies in the same run of copies; each range tells the next its last.
+    """
+    schema = pa_schema(near.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                sides: dict[str, list] = {"before": [], "after": []}
+                for row in part.select(["host", "lines", "zones", "before", "after"]).to_pylist():
+                    page = row["lines"], row["zones"]
+                    for name, found in sides.items():
+                        s = row[name]
+                        same = s and s["host"] == row["host"] and compared(page, (s["lines"], s["zones"]))[1]
+                        found.append(None if same else s)
+                for name, found in sides.items():
+                    at = part.schema.get_field_index(name)
+                    part = part.set_column(at, name, pa.array(found, part.schema.field(at).type))
+                yield part.cast(schema)
+
+    other = written(near.mapInArrow(run, near.schema), "neighbours")
+    place = F.struct(*ORDER)
+    ends = other.groupBy("_part").agg(
+        F.max_by("before", F.when(F.col("before").isNotNull(), place)).alias("_before"),
+        F.min_by("after", F.when(F.col("after").isNotNull(), place)).alias("_after"),
+    )
+    whole = (Window.unboundedPreceding, -1)
+    up, down = Window.orderBy("_part").rowsBetween(*whole), Window.orderBy(F.desc("_part")).rowsBetween(*whole)  # one row for each range
+    around = ends.select("_part", F.last("_before", True).over(up).alias("_earlier"), F.last("_after", True).over(down).alias("_later"))
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    rising = Window.partitionBy("_part").orderBy(*ORDER).rowsBetween(*so_far)
+    falling = Window.partitionBy("_part").orderBy(*map(F.desc, ORDER)).rowsBetween(*so_far)
+    inside = other.withColumns({"before": F.last("before", True).over(rising), "after": F.last("after", True).over(falling)})
+    return inside.join(around, "_part").withColumns(
+        {"before": F.coalesce("before", "_earlier"), "after": F.coalesce("after", "_later")}
+    ).drop("_earlier", "_later")
+
+
 def template_places(pages: DataFrame) -> DataFrame:
     """``_key``, ``_row`` and ``gone``, the line numbers that each page shares with its partner."""
     ddl = f"_key {pages.schema['_key'].dataType.simpleString()}, _row bigint, gone array<int>"
     schema = pa_schema(ddl)
-    near = with_neighbours(_outlined(pages))
+    near = past_copies(with_neighbours(_outlined(pages)))
     sided = near.select("_key", "_row", "host", "path", "lines", "zones", "before", "after")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

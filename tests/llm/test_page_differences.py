@@ -26,3 +26,16 @@ def test_near_copy_of_an_article(spark):
     page = "<article><p>{0}<p>Two<p>Three<p>Four</article>"
     found = _texts(spark, [(i, f"http://a.example/{i}", page.format(f"Day {i}")) for i in range(2)])
     assert found == {i: f"Day {i} Two Three Four" for i in range(2)}
+
+
+def test_pages_between_copies_are_differenced(spark):
+    page = "<p>Menu<p>Welcome<p>One of {0}<p>Two of {0}<p>All rights"
+    rows = [(i, f"http://a.example/{i:03d}", page.format(i // 30)) for i in range(120)]  # runs across ranges
+    rows += [(1000 + i, f"http://b.example/{i}", page.format("b")) for i in range(40)]  # copies only
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = _texts(spark, rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert all(found[i] == f"One of {i // 30} Two of {i // 30}" for i in range(120))
+    assert all(found[1000 + i] == "Menu Welcome One of b Two of b All rights" for i in range(40))
