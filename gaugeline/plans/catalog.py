@@ -1285,10 +1285,9 @@ def _(spark, sf):
 
 
 def _searched(train):
-    """A reduced grid of small forests; the declared one is ``rg.FOREST_GRID``."""
-    forest = rg.random_forest(trees=10, depth=5)
-    grid = rg.forest_grid(forest, trees=(5, 10), depth=(4, 6), min_split=(10, 20), min_leaf=(1,))
-    return forest, rg.grid_search(rg.training_set(train), forest, grid)
+    """The whole declared grid, ``rg.FOREST_GRID``."""
+    forest = rg.random_forest()
+    return forest, rg.grid_search(rg.training_set(train), forest, rg.forest_grid(forest))
 
 
 @query("K19_grid_search")
