@@ -6,10 +6,10 @@ paragraphs are added to or taken from a fingerprint without the text. The vector
 
 - the identity, four sums modulo 2^32 hashed from the paragraph as a whole, and the number of its
   pieces modulo 2^32; equal multisets of paragraphs have equal identities;
-- three sketches of 64 places modulo 2^8. Each piece of the paragraph (a sentence) adds a byte at one
-  place of the first, one in 8 pieces also of the second and one in 64 of the third. The places in
-  which two sketches agree tell how many pieces differ, whatever their number, by the sketch that is
-  neither full nor empty of differences.
+- nine sketches of 64 places modulo 2^8. Each piece of the paragraph (a sentence) adds a byte at one
+  place of the first, one in 8 pieces also of the second, one in 64 of the third, and so on. The places
+  in which two sketches agree tell how many pieces differ, up to the longest text that a string holds,
+  by the sketch that is neither full nor empty of differences.
 """
 
 from __future__ import annotations
@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-LANES, SKETCHES, RATE = 64, 3, 8
+LANES, RATE = 64, 8
+#: Two texts of 2^31 characters have at most 2^31 pieces; the coarsest of nine sketches counts 64 * ln(8) * 8^8.
+SKETCHES = 9
 IDENTITY = 4
 HEX = 8 * (IDENTITY + 1) + 2 * LANES * SKETCHES
 #: Buckets of the neighbour search hold about so many rows.
@@ -43,7 +45,7 @@ def _sketch(hashes: Column, level: int) -> Column:
     """64 sums as hexadecimal bytes. A hash is cut into level bits, place and byte."""
     taken = hashes if level == 0 else F.filter(hashes, lambda h: h.bitwiseAND(RATE**level - 1) == 0)
     # Each hash becomes place * 256 + byte.
-    keyed = F.transform(taken, lambda h: F.shiftrightunsigned(h, 16).bitwiseAND(LANES * 256 - 1))
+    keyed = F.transform(taken, lambda h: F.shiftrightunsigned(h, 32).bitwiseAND(LANES * 256 - 1))
     empty = F.array_repeat(F.lit(0).cast("long"), LANES)
     add = lambda acc, k: F.transform(acc, lambda v, i: F.when(i == F.shiftright(k, 8), (v + k.bitwiseAND(255)) % 256).otherwise(v))
     return F.aggregate(keyed, empty, add, lambda acc: F.array_join(F.transform(acc, lambda v: F.lpad(F.hex(v), 2, "0")), ""))
@@ -54,7 +56,7 @@ def _hex32(value: Column) -> Column:
 
 
 def fingerprint(text: Column) -> Column:
-    """The fingerprint of a text as 424 hexadecimal digits; null counts as empty."""
+    """The fingerprint of a text as 1192 hexadecimal digits; null counts as empty."""
     part = lambda s, i: F.conv(F.substring(s, 8 * i + 1, 8), 16, 10).cast("long")
     zero = F.array_repeat(F.lit(0).cast("long"), IDENTITY)
     add = lambda sums, p: _bound(
