@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe, fingerprints, packing, page_text, personal_data, quality_classifier, quality_rules, simhash, token_counts, token_files
+from gaugeline.llm import (
+    bpe, fingerprints, inner_products, packing, page_text, personal_data, quality_classifier, quality_rules, simhash, token_counts,
+    token_files,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +83,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_page_text")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.page_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("op11_top_products", inner_products.products_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inner_products.top_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("key") % 20 == 0)
