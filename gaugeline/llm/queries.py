@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm import (
-    bpe, fingerprints, inner_products, packing, page_text, personal_data, quality_classifier, quality_rules, simhash, token_counts,
-    token_files,
+    bpe, fingerprints, inner_products, packing, page_text, periodic_runs, personal_data, quality_classifier, quality_rules, simhash,
+    token_counts, token_files,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_top_products", inner_products.products_sql())
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inner_products.top_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("key") % 20 == 0)
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(periodic_runs.with_planted_runs(documents(spark, sf_dir)))
