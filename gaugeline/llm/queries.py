@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm import (
-    bpe, fingerprints, inner_products, packing, page_text, periodic_runs, personal_data, quality_classifier, quality_rules, simhash,
-    token_counts, token_files,
+    bpe, fingerprints, inner_products, packing, page_text, periodic_runs, personal_data, quality_classifier, quality_rules,
+    ranked_search, simhash, token_counts, token_files,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_periodic_runs")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(periodic_runs.with_planted_runs(documents(spark, sf_dir)))
+
+
+@query("op13_ranked_search", ranked_search.ranked_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
