@@ -405,12 +405,15 @@ def first_rows(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFr
     repeated = found.groupBy("_key", "_hash").agg(F.count(F.lit(1)).alias("_copies"))
     on = chosen["_key"].eqNullSafe(repeated["_key"]) & (chosen["_hash"] == repeated["_hash"])
     chosen = written(repeated.join(chosen, on, "left_semi"), "chosen")
-    hashed = docs.withColumn("_gl_hash", F.xxhash64(docs[text]))
-    same = lambda ids: hashed[key].eqNullSafe(ids["_key"]) & (hashed["_gl_hash"] == ids["_hash"])
+    name = "_text_hash"
+    while name in docs.columns:
+        name += "_"
+    hashed = docs.withColumn(name, F.xxhash64(docs[text]))
+    same = lambda ids: hashed[key].eqNullSafe(ids["_key"]) & (hashed[name] == ids["_hash"])
     single = chosen.filter("_copies = 1")
-    kept = hashed.join(single, same(single), "left_semi").drop("_gl_hash")
+    kept = hashed.join(single, same(single), "left_semi").drop(name)
     many = chosen.filter("_copies > 1")
     if not many.isEmpty():
-        again = hashed.join(many, same(many), "left_semi").dropDuplicates([key, "_gl_hash"]).drop("_gl_hash")
+        again = hashed.join(many, same(many), "left_semi").dropDuplicates([key, name]).drop(name)
         kept = kept.unionByName(again)
     return kept
