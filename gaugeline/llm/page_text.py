@@ -1,12 +1,13 @@
-"""Main text of web pages by comparing each page with its nearest neighbour by URL.
+"""Main text of web pages by comparing each page with its nearest neighbours by URL.
 
-Pages of a host are ordered by URL path; of the nearest page before and the nearest after that are no
-copies of it, the one whose path begins alike for longer is the partner. The text lines of both are
-aligned by a longest common subsequence, and what they share is template, not article: those lines
-go, in whatever element they lie. A copy is told by what remains: no line of its own on one side or,
-where one line remains, an article or main element that is mostly shared. Menus, footers, adverts,
-forms and the like are told by their element, and so is the article of a page without a partner or
-whose partner shares nothing with it.
+Pages of a host are ordered by URL path, and the text lines of each page are aligned by a longest common
+subsequence with those of the nearest page before and the nearest after that are no copies of it. A copy
+is told by what remains: no line of its own on one side or, where one line remains, an article or main
+element that is mostly shared. What a page shares with the partner whose path begins alike for longer is
+evidence of template; for a line inside an article or main element both partners must share it. The
+evidence is counted by host: a line goes, on all pages of the host alike, if at least half of the pages that
+hold it and were compared show it. Menus, footers, adverts, forms and the like are told by their element,
+and so is the article of the pages of a host without template lines.
 
 Only hashes of lines travel for the comparison; the pages themselves are parsed where they are read.
 """
@@ -16,6 +17,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import groupby
 from os.path import commonprefix
 
 import numpy as np
@@ -46,6 +48,18 @@ CHROME_WORDS = frozenset(
 )
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form dialog menu alert".split())
 
+#: Elements that end an open paragraph, and what ends an open item: its siblings, up to its container.
+ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hgroup hr main menu nav ol p pre search section summary table ul".split()
+)
+SIBLINGS = {
+    "li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr", "table"), "td": ("td th", "tr table"),
+    "th": ("td th", "tr table"), "tbody": ("tbody thead tfoot", "table"), "thead": ("tbody thead tfoot", "table"),
+    "tfoot": ("tbody thead tfoot", "table"), "option": ("option", "select optgroup datalist"), "optgroup": ("optgroup", "select"),
+}
+SIBLINGS = {name: tuple(frozenset(x.split()) for x in sets) for name, sets in SIBLINGS.items()}
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -57,7 +71,8 @@ WORDS = re.compile(r"[a-zA-Z]+")
 
 
 def _zone(name: str, attributes: str, outer: int) -> int:
-    if outer == CHROME or name in CHROME_TAGS:
+    title = name == "header" and outer == MAIN  # the heading of an article belongs to it
+    if outer == CHROME or (name in CHROME_TAGS and not title):
         return CHROME
     if name in ("article", "main"):
         return MAIN
@@ -69,14 +84,32 @@ def _zone(name: str, attributes: str, outer: int) -> int:
                     return CHROME
                 if value == "main":
                     return MAIN
-            elif any(w in CHROME_WORDS for w in WORDS.findall(value)):
+            elif any(w in CHROME_WORDS and not (title and w == "header") for w in WORDS.findall(value)):
                 return CHROME
     return outer
 
 
+def _implied_end(names: list[str], name: str) -> int | None:
+    """The place of the open element that the start of ``name`` ends."""
+    if name in ENDS_P:
+        at = len(names) - 1
+        while at >= 0 and names[at] in INLINE:
+            at -= 1
+        return at if at >= 0 and names[at] == "p" else None
+    if name in SIBLINGS:
+        ended, container = SIBLINGS[name]
+        for at in range(len(names) - 1, -1, -1):
+            if names[at] in ended:
+                return at
+            if names[at] in container:
+                return None
+    return None
+
+
 def lines_of(page: str) -> tuple[list[str], list[int]]:
     """The text lines of a page in order, and the zone each lies in. A line is the text of a block,
-    character references decoded, white space turned into single spaces; empty ones are left out."""
+    character references decoded, white space turned into single spaces; empty ones are left out.
+    Paragraphs, items and cells without an end tag end where the next one or a block begins."""
     lines: list[str] = []
     zones: list[int] = []
     names: list[str] = []
@@ -117,7 +150,10 @@ def lines_of(page: str) -> tuple[list[str], list[int]]:
         if name in RAW:
             close = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
             at = close.end() if close else size
-        elif name not in VOID and not match["attributes"].endswith("/"):
+            continue
+        if (ended := _implied_end(names, name)) is not None:
+            del names[ended:], outer[ended + 1 :]
+        if name not in VOID and not match["attributes"].endswith("/"):
             # An inline element that is never closed must not end a block's zone, so both are kept.
             names.append(name)
             outer.append(_zone(name, match["attributes"], outer[-1]))
@@ -151,9 +187,13 @@ def _lengths(a: list[int], b: list[int]) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(grows)])
 
 
-def shared(a: list[int], b: list[int]) -> list[int]:
+#: Cells of an alignment that are worked out at once; larger ones are split, with the same result.
+CELLS = 1 << 24
+
+
+def shared(a: list[int], b: list[int], cells: int = CELLS) -> list[int]:
     """Places in ``a`` of a longest common subsequence of ``a`` and ``b``, in memory linear in both
-    beyond a fixed size."""
+    beyond ``cells``."""
     out: list[int] = []
     todo = [(0, len(a), 0, len(b))]
     while todo:
@@ -167,7 +207,13 @@ def shared(a: list[int], b: list[int]) -> list[int]:
         if a0 == a1 or b0 == b1:
             continue
         own, other = a[a0:a1], b[b0:b1]
-        if len(own) * len(other) <= 1 << 24:
+        if len(other) == 1:
+            if other[0] in own:
+                out.append(a0 + own.index(other[0]))
+        elif len(own) == 1:
+            if own[0] in other:
+                out.append(a0)
+        elif len(own) * len(other) <= cells:
             rows = _rows(own, other, True)
             i, j = len(own) - 1, len(other) - 1
             while i >= 0 and j >= 0:
@@ -178,177 +224,244 @@ def shared(a: list[int], b: list[int]) -> list[int]:
                 else:
                     out.append(a0 + i)
                     i, j = i - 1, j - 1
-            continue
-        middle = len(other) // 2  # split where both halves' common subsequences are longest together
-        ahead = _lengths(own, other[:middle])
-        behind = _lengths(own[::-1], other[middle:][::-1])[::-1]
-        cut = a0 + int(np.argmax(ahead + behind))
-        todo += [(a0, cut, b0, b0 + middle), (cut, a1, b0 + middle, b1)]
+        else:
+            middle = len(other) // 2  # split where both halves' common subsequences are longest together
+            ahead = _lengths(own, other[:middle])
+            behind = _lengths(own[::-1], other[middle:][::-1])[::-1]
+            cut = a0 + int(np.argmax(ahead + behind))
+            todo += [(a0, cut, b0, b0 + middle), (cut, a1, b0 + middle, b1)]
     return sorted(out)
 
 
-Outline = tuple[list[int], list[int]]  # hashes and zones of the lines
+#: The lines of a page outside chrome, as hashes whose last bit is 1 inside an article or main element.
+Outline = list[int]
+
+
+def compared(page: Outline, partner: Outline) -> list[int] | None:
+    """Places of the lines that a page shares with another; None if the two are copies."""
+    if page == partner:
+        return None
+    places = shared([x >> 1 for x in page], [x >> 1 for x in partner])
+    left = min(len(page), len(partner)) - len(places)
+    if left <= 0 or (left == 1 and 2 * sum(page[i] & 1 for i in places) > sum(x & 1 for x in page)):
+        return None
+    return places
+
+
+class Page:
+    """A page in URL order: its path, its outline, and the nearest pages on both sides that are no copies
+    with the lines that it shares with them."""
+
+    __slots__ = ("before", "after", "outline", "path")
+
+    def __init__(self, path: str, outline: Outline):
+        self.path, self.outline = path, outline
+        self.before: tuple[Page, list[int]] | None = None
+        self.after: tuple[Page, list[int]] | None = None
+
+    def look(self, side: str, beside: Page | None, further: list[Page]) -> None:
+        """Find the nearest page that is no copy, from the one ``beside``: the next candidate is always the
+        nearest one that is no copy of the last; ``further`` ones lie beyond all of these."""
+        while beside is not None:
+            places = compared(self.outline, beside.outline)
+            if places is not None:
+                setattr(self, side, (beside, places))
+                return
+            found = getattr(beside, side)
+            beside = found[0] if found else None
+        for beside in further:
+            places = compared(self.outline, beside.outline)
+            if places is not None:
+                setattr(self, side, (beside, places))
+                return
+
+
+def linked(pages: list[Page], earlier: list[Page], later: list[Page]) -> None:
+    """Find the partners of the pages of a host in URL order; ``earlier`` and ``later`` ones, the nearest
+    first, lie in other ranges."""
+    for i, page in enumerate(pages):
+        page.look("before", pages[i - 1] if i else None, earlier)
+    for i in range(len(pages) - 1, -1, -1):
+        pages[i].look("after", pages[i + 1] if i + 1 < len(pages) else None, later)
+
+
+def evidence(pages: list[Page], last: Outline | None) -> dict[int, list[int]]:
+    """For each line: the compared pages that hold it, and those of them that show it to be template. Of equal
+    pages in a row (``last`` is the one before these) one counts."""
+    out: dict[int, list[int]] = {}
+    for page in pages:
+        again, last = page.outline == last, page.outline
+        sides = [s for s in (page.before, page.after) if s]
+        if again or not sides:
+            continue
+        nearest = max(sides, key=lambda s: len(commonprefix([page.path, s[0].path])))
+        hits = {page.outline[i] for i in nearest[1] if not page.outline[i] & 1}
+        if len(sides) == 2:
+            hits |= {page.outline[i] for i in set(sides[0][1]) & set(sides[1][1]) if page.outline[i] & 1}
+        for line in set(page.outline):
+            if len(sides) == 2 or not line & 1:
+                seen = out.setdefault(line, [0, 0])
+                seen[0] += 1
+                seen[1] += line in hits
+    return out
 
 
-def compared(page: Outline, partner: Outline) -> tuple[list[int], bool]:
-    """Places of the lines that a page shares with another, and whether the two are copies."""
-    (lines, zones), (others, other_zones) = page, partner
-    places = shared(lines, others)
-    common = sum(zones[i] != CHROME for i in places)
-    own = sum(z != CHROME for z in zones) - common
-    left = min(own, sum(z != CHROME for z in other_zones) - common)
-    main = sum(z == MAIN for z in zones)
-    return places, left <= 0 or (left == 1 and 2 * sum(zones[i] == MAIN for i in places) > main)
+# -- on tables ----------------------------------------------------------------------------------
 
+ORDER = ["host", "path", "_key", "_row"]
 
-def template_lines(page: Outline, partners: list[Outline]) -> list[int] | None:
-    """Places of the lines that a page shares with its partner, the first that is no copy of it. None
-    if there is no such partner or it shares nothing."""
-    for partner in partners:
-        places, copy = compared(page, partner)
-        if not copy:
-            return places or None
-    return None
 
+def _hashes(lines: list[str]) -> list[int]:
+    """63-bit hashes of lines, the last bit left free."""
+    return [(xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) >> 1 << 1) - (1 << 63) for x in lines]
 
-# -- on tables ----------------------------------------------------------------------------------
 
+def outline_of(lines: list[str], zones: list[int]) -> Outline:
+    """Coded lines outside chrome."""
+    kept = [(x, z) for x, z in zip(lines, zones) if z != CHROME]
+    return [h | (z == MAIN) for h, (_, z) in zip(_hashes([x for x, _ in kept]), kept)]
 
-def _hashes(lines: list[str]) -> list[int]:
-    return [xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63) for x in lines]
+
+def with_host(pages: DataFrame) -> DataFrame:
+    """Add ``host`` (in lower case) and ``path`` of the URL, empty if it has none."""
+    url = F.coalesce("_url", F.lit(""))
+    return pages.withColumns({
+        "host": F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)),
+        "path": F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1),
+    })
 
 
-def _outlined(pages: DataFrame) -> DataFrame:
-    """Per page: key, identity, host, path, hashes and zones of its lines."""
-    ddl = "_key {0}, _row bigint, host string, path string, lines array<bigint>, zones array<int>"
-    ddl = ddl.format(pages.schema["_key"].dataType.simpleString())
+def outlines(pages: DataFrame) -> DataFrame:
+    """``host``, ``path``, ``lines`` and ``_part`` of the pages with a host, in ranges of URL order. Hosts of any
+    size are spread over ranges."""
+    kind = pages.schema["_key"].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [lines_of(page) for page in filled(batch["_html"]).to_pylist()]
+        found = [outline_of(*lines_of(page)) for page in filled(batch["_html"]).to_pylist()]
         return batch_of(
-            _key=batch["_key"], _row=batch["_row"], host=batch["host"], path=batch["path"],
-            lines=pa.array([_hashes(lines) for lines, _ in found], pa.list_(pa.int64())),
-            zones=pa.array([zones for _, zones in found], pa.list_(pa.int32())),
-        )
+            _key=batch["_key"], _row=batch["_row"], host=batch["host"], path=batch["path"], lines=pa.array(found, pa.list_(pa.int64()))
+        )
 
-    host = F.lower(F.regexp_extract(F.coalesce("_url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
-    path = F.regexp_extract(F.coalesce("_url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    return map_texts(pages.select("_key", "_row", "_html", host.alias("host"), path.alias("path")), work, ddl, "_html")
+    rows = with_host(pages).filter("host <> ''").select("_key", F.xxhash64("_url", "_html").alias("_row"), "_html", "host", "path")
+    found = map_texts(rows, work, f"_key {kind}, _row bigint, host string, path string, lines array<bigint>", "_html")
+    return written(found.repartitionByRange(*ORDER).withColumn("_part", F.spark_partition_id()), "outlines")
 
 
-def with_neighbours(outlined: DataFrame) -> DataFrame:
-    """Add ``before`` and ``after``: host, path, lines and zones of the neighbours in URL order.
+END = "struct<host: string, path: string, lines: array<bigint>>"
 
-    Rows are range-partitioned on (host, path), so a host of any size is spread over tasks; the first
-    and last row of each range, one of each, tell the neighbouring ranges.
-    """
-    placed = written(outlined.repartitionByRange(*ORDER).withColumn("_part", F.spark_partition_id()), "outlines")
-    window = Window.partitionBy("_part").orderBy(*ORDER)
-    view, place = F.struct("host", "path", "lines", "zones"), F.struct(*ORDER)
-    ends = placed.groupBy("_part").agg(F.min_by(view, place).alias("_first"), F.max_by(view, place).alias("_last"))
+
+def range_ends(placed: DataFrame) -> DataFrame:
+    """``_part`` and the first two and last two pages of each range, the second no copy of the first (null if
+    there is none on the same host)."""
+    ddl = f"_part int, first {END}, second {END}, last {END}, other {END}"
+    schema = pa_schema(ddl)
+
+    def no_copy(pages: Iterator[dict], end: dict) -> dict | None:
+        return next((p for p in pages if compared(end["lines"], p["lines"]) is not None), None)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for i in range(0, b.num_rows, 1024) for r in b.slice(i, 1024).to_pylist())
+        for part, own in groupby(rows, key=lambda r: r.pop("_part")):
+            found, pages = {"_part": part}, []
+            for _, of_host in groupby(own, key=lambda r: r["host"]):
+                pages = list(of_host)
+                if "first" not in found:
+                    found |= {"first": pages[0], "second": no_copy(iter(pages[1:]), pages[0])}
+            found |= {"last": pages[-1], "other": no_copy(reversed(pages[:-1]), pages[-1])}
+            yield pa.RecordBatch.from_pylist([found], schema)
+
+    # A task may read several files of the written table, or a part of one.
+    dealt = placed.repartition("_part").sortWithinPartitions("_part", *ORDER)
+    return written(dealt.select("_part", "host", "path", "lines").mapInArrow(run, ddl), "ends")
+
+
+def guests(ends: DataFrame) -> DataFrame:
+    """``_part``, ``earlier`` and ``later``: the pages of other ranges that are nearest, at most two each. The
+    second lies any number of ranges away if all between are copies."""
     row = Window.orderBy("_part")  # one row for each range
-    around = ends.select("_part", F.lag("_last").over(row).alias("_earlier"), F.lead("_first").over(row).alias("_later"))
-    inside = placed.withColumns({"before": F.lag(view).over(window), "after": F.lead(view).over(window)})
-    return inside.join(around, "_part").withColumns(
-        {"before": F.coalesce("before", "_earlier"), "after": F.coalesce("after", "_later")}
-    ).drop("_earlier", "_later")
+    past = row.rowsBetween(Window.unboundedPreceding, -1)
+    coming = row.rowsBetween(1, Window.unboundedFollowing)
+    pair = lambda a, b: F.array_compact(F.array(a, b))
+    return ends.select(
+        "_part",
+        pair(F.lag("last").over(row), F.last("other", True).over(past)).alias("earlier"),
+        pair(F.lead("first").over(row), F.first("second", True).over(coming)).alias("later"),
+    )
 
 
-ORDER = ["host", "path", "_key", "_row"]
+VOTES = "host string, line bigint, seen bigint, hits bigint"
 
 
-def past_copies(near: DataFrame) -> DataFrame:
-    """``before`` and ``after`` moved past the copies next to a page, over any number of them.
+def votes(placed: DataFrame) -> DataFrame:
+    """How many compared pages of each host hold a line, and how many show it to be template. Lines that no
+    page shows are left out where the range holds the whole host."""
+    columns = [*ORDER, "lines", "_part"]
+    schema = pa_schema(VOTES)
+    empty = F.lit(None).cast(f"array<{END}>")
+    pages = placed.select(*columns, F.lit(1).alias("kind"), empty.alias("earlier"), empty.alias("later"))
+    around = guests(range_ends(placed))
+    for c in columns[:-1]:
+        around = around.withColumn(c, F.lit(None).cast(placed.schema[c].dataType))
+    around = around.select(*columns, F.lit(0).alias("kind"), "earlier", "later")
+    dealt = pages.unionByName(around).repartition("_part").sortWithinPartitions("_part", "kind", *ORDER)
 
-    A neighbour that is a copy is taken out. A row without one then takes that of the nearest row on
-    that side that has one, which lies in the same run of copies; each range tells the next its last.
-    """
-    schema = pa_schema(near.schema)
+    def counted(host: str, pages: list[Page], earlier: list[dict], later: list[dict], edge: bool) -> pa.RecordBatch:
+        sides = [[Page(p["path"], p["lines"]) for p in side if p["host"] == host] for side in (earlier, later)]
+        linked(pages, *sides)
+        rows = evidence(pages, sides[0][0].outline if sides[0] else None)
+        kept = [(host, line, seen, hits) for line, (seen, hits) in rows.items() if hits or edge]
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(list(zip(*kept)) or [[]] * 4, schema)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                sides: dict[str, list] = {"before": [], "after": []}
-                for row in part.select(["host", "lines", "zones", "before", "after"]).to_pylist():
-                    page = row["lines"], row["zones"]
-                    for name, found in sides.items():
-                        s = row[name]
-                        same = s and s["host"] == row["host"] and compared(page, (s["lines"], s["zones"]))[1]
-                        found.append(None if same else s)
-                for name, found in sides.items():
-                    at = part.schema.get_field_index(name)
-                    part = part.set_column(at, name, pa.array(found, part.schema.field(at).type))
-                yield part.cast(schema)
-
-    other = written(near.mapInArrow(run, near.schema), "neighbours")
-    place = F.struct(*ORDER)
-    ends = other.groupBy("_part").agg(
-        F.max_by("before", F.when(F.col("before").isNotNull(), place)).alias("_before"),
-        F.min_by("after", F.when(F.col("after").isNotNull(), place)).alias("_after"),
-    )
-    whole = (Window.unboundedPreceding, -1)
-    up, down = Window.orderBy("_part").rowsBetween(*whole), Window.orderBy(F.desc("_part")).rowsBetween(*whole)  # one row for each range
-    around = ends.select("_part", F.last("_before", True).over(up).alias("_earlier"), F.last("_after", True).over(down).alias("_later"))
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    rising = Window.partitionBy("_part").orderBy(*ORDER).rowsBetween(*so_far)
-    falling = Window.partitionBy("_part").orderBy(*map(F.desc, ORDER)).rowsBetween(*so_far)
-    inside = other.withColumns({"before": F.last("before", True).over(rising), "after": F.last("after", True).over(falling)})
-    return inside.join(around, "_part").withColumns(
-        {"before": F.coalesce("before", "_earlier"), "after": F.coalesce("after", "_later")}
-    ).drop("_earlier", "_later")
-
-
-def template_places(pages: DataFrame) -> DataFrame:
-    """``_key``, ``_row`` and ``gone``, the line numbers that each page shares with its partner."""
-    ddl = f"_key {pages.schema['_key'].dataType.simpleString()}, _row bigint, gone array<int>"
-    schema = pa_schema(ddl)
-    near = past_copies(with_neighbours(_outlined(pages)))
-    sided = near.select("_key", "_row", "host", "path", "lines", "zones", "before", "after")
+        rows = (r for b in batches for i in range(0, b.num_rows, 1024) for r in b.slice(i, 1024).to_pylist())
+        earlier: list[dict] = []
+        later: list[dict] = []
+        for (_, kind, host), own in groupby(rows, key=lambda r: (r["_part"], r["kind"], r["host"])):
+            if not kind:
+                around = next(own)
+                earlier, later = around["earlier"], around["later"]
+                continue
+            edge = any(p["host"] == host for p in (*earlier, *later))  # the host goes on in another range
+            found = counted(host, [Page(r["path"], r["lines"]) for r in own], earlier, later, edge)
+            if found.num_rows:
+                yield found
+
+    return dealt.mapInArrow(run, VOTES).groupBy("host", "line").agg(F.sum("seen").alias("seen"), F.sum("hits").alias("hits"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            gone = []
-            for row in batch.select(["host", "path", "lines", "zones", "before", "after"]).to_pylist():
-                sides = [s for s in (row["before"], row["after"]) if s and row["host"] and s["host"] == row["host"]]
-                sides.sort(key=lambda s: -len(commonprefix([row["path"], s["path"]])))
-                gone.append(template_lines((row["lines"], row["zones"]), [(s["lines"], s["zones"]) for s in sides]))
-            yield batch_of(_key=batch["_key"], _row=batch["_row"], gone=pa.array(gone, pa.list_(pa.int32()))).cast(schema)
 
-    return sided.mapInArrow(run, ddl)
+def templates(pages: DataFrame) -> DataFrame:
+    """``host`` and ``gone``, its template lines."""
+    found = votes(outlines(pages)).filter("hits > 0 AND 2 * hits >= seen")
+    return written(found.groupBy("host").agg(F.collect_list("line").alias("gone")), "templates")
 
 
 def main_text(page: str, gone: list[int] | None) -> str:
-    """The lines that are neither template nor chrome; of a page that was not compared (None), those
+    """The lines that are neither template nor chrome; of a page of a host without template lines (None), those
     that its elements mark as the article, if any."""
     lines, zones = lines_of(page)
     if gone is None:
-        wanted = {MAIN if MAIN in zones else PLAIN}
-    else:
-        wanted = {MAIN, PLAIN}
-    out = set(gone or ())
-    return " ".join(x for i, (x, z) in enumerate(zip(lines, zones)) if z in wanted and i not in out)
+        wanted = MAIN if MAIN in zones else PLAIN
+        return " ".join(x for x, z in zip(lines, zones) if z == wanted)
+    out = set(gone)
+    kept = [x for x, z in zip(lines, zones) if z != CHROME]
+    return " ".join(x for x, h in zip(kept, outline_of(lines, zones)) if h not in out)
 
 
 def page_texts(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """``key``, ``url``, ``text`` and ``n_chars`` of every row.
 
-    A null page counts as empty and gives an empty text. Pages with no URL or host have no partner,
-    and a page alone on its host none either; both are told by their elements. Null keys stay null,
-    repeated rows stay repeated (they are copies of each other), other columns are not read, and an
-    empty table gives no rows.
+    A null page counts as empty and gives an empty text. Pages with no URL or host, or alone on their
+    host, have no partner and are told by their elements. Null keys stay null, repeated rows stay repeated
+    (they are copies of each other), other columns are not read, and an empty table gives no rows.
     """
     ship(pages.sparkSession)
     narrow = pages.select(pages[key].alias("_key"), pages[url].alias("_url"), pages[page].alias("_html"))
-    narrow = narrow.withColumn("_row", F.xxhash64("_url", "_html"))
-    gone = template_places(narrow).groupBy("_key", "_row").agg(F.min("gone").alias("gone"))
-    gone = written(gone.select(F.col("_key").alias("_k"), F.col("_row").alias("_r"), "gone"), "templates")
-    joined = narrow.join(gone, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_row") == F.col("_r")), "left")
+    # The optimizer broadcasts the hosts' lines if they are few, and else splits large hosts.
+    joined = with_host(narrow).join(templates(narrow), "host", "left").select("_key", "_url", "_html", "gone")
     ddl = f"_key {pages.schema[key].dataType.simpleString()}, _url string, text string, n_chars bigint"
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [main_text(p, g) for p, g in zip(filled(batch["_html"]).to_pylist(), batch["gone"].to_pylist())]
         return batch_of(_key=batch["_key"], _url=batch["_url"], text=pa.array(texts, pa.string()), n_chars=np.array([len(t) for t in texts], np.int64))
 
-    done = map_texts(joined.select("_key", "_url", "_html", "gone"), work, ddl, "_html")
-    return done.withColumnRenamed("_key", key).withColumnRenamed("_url", url)
+    return map_texts(joined, work, ddl, "_html").withColumnRenamed("_key", key).withColumnRenamed("_url", url)
