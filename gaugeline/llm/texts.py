@@ -84,6 +84,9 @@ def map_texts(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], s
             done = work(part)
             if done.num_rows:
                 yield done.cast(kind) if done.schema != kind else done
+            del done
+        # Workers outlive their tasks; what Arrow has kept would stand beside the next stages' memory.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
