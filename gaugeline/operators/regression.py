@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import product
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
     LinearRegression,
     RandomForestRegressor,
 )
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -25,6 +29,8 @@ from gaugeline.operators.frames import beside
 from gaugeline.operators.profile import count_to_reach, cumulative_share
 from gaugeline.operators.quantiles import quantiles
 from gaugeline.schema import MODEL_FEATURES, TARGET
+from gaugeline.session import new_path, written
+from gaugeline.ship import ship
 
 # -- data --------------------------------------------------------------------------------------
 
@@ -233,7 +239,7 @@ def time_blocks(frame: DataFrame, blocks: int, into: str = "fold", day: str = "d
 
 def expanding_cv(frame: DataFrame, estimators: dict, splits: int = 5) -> DataFrame:
     """Train on everything before block k, test on block k: (model, fold, rmse)."""
-    folded = time_blocks(frame, splits + 1).cache()
+    folded = written(time_blocks(frame, splits + 1), "folds")
     rows = []
     for k in range(1, splits + 1):
         train, test = folded.filter(F.col("fold") < k), folded.filter(F.col("fold") == k)
@@ -241,7 +247,6 @@ def expanding_cv(frame: DataFrame, estimators: dict, splits: int = 5) -> DataFra
             scored = estimator.fit(train).transform(test)
             error = F.sqrt(F.avg((F.col("label") - F.col("prediction")) ** 2))
             rows.append((name, k, scored.agg(error).first()[0]))
-    folded.unpersist()
     return frame.sparkSession.createDataFrame(rows, "model string, fold int, rmse double")
 
 
@@ -254,55 +259,126 @@ def cv_summary(scores: DataFrame) -> DataFrame:
 FOREST_GRID = {"trees": (50, 100, 150), "depth": (10, 15, 20), "min_split": (10, 20, 30), "min_leaf": (1, 2, 4)}
 
 
-def forest_grid(estimator: RandomForestRegressor, trees=FOREST_GRID["trees"], depth=FOREST_GRID["depth"], min_split=FOREST_GRID["min_split"], min_leaf=FOREST_GRID["min_leaf"]):
-    bounds = sorted({max(leaf, split // 2) for split in min_split for leaf in min_leaf})
-    return (
-        ParamGridBuilder()
-        .addGrid(estimator.numTrees, list(trees))
-        .addGrid(estimator.maxDepth, list(depth))
-        .addGrid(estimator.minInstancesPerNode, bounds)
-        .build()
-    )
+def leaf_bounds(min_split: Sequence[int] = FOREST_GRID["min_split"], min_leaf: Sequence[int] = FOREST_GRID["min_leaf"]) -> list[int]:
+    """The bounds on the rows of a child that the two lists amount to."""
+    return sorted({max(leaf, split // 2) for split in min_split for leaf in min_leaf})
 
 
-def grid_search(frame: DataFrame, estimator, grid, folds: int = 3, parallelism: int = 4) -> CrossValidatorModel:
-    """Each of ``folds`` consecutive stretches of time is held out once."""
-    folded = time_blocks(frame, folds).cache()
-    search = CrossValidator(
-        estimator=estimator, estimatorParamMaps=grid, evaluator=RegressionEvaluator(metricName="rmse"),
-        foldCol="fold", numFolds=folds, parallelism=parallelism, seed=42,
+def node_table(model) -> DataFrame:
+    """The nodes of a fitted tree ensemble: ``tree``, ``id``, ``prediction`` (the mean of the node's rows),
+    ``feature`` and ``threshold`` of its split, ``left`` (taken at or below it) and ``right``, -1 in a leaf."""
+    spark = SparkSession.active()
+    path = new_path(spark, "model")
+    model.save(path)
+    node = spark.read.parquet(f"{path}/data")
+    return node.select(
+        F.col("treeID").alias("tree"), F.col("nodeData.id").alias("id"), F.col("nodeData.prediction").alias("prediction"),
+        F.col("nodeData.split.featureIndex").alias("feature"), F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
+        F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
     )
-    found = search.fit(folded)
-    folded.unpersist()
-    return found
-
-
-def grid_scores(spark: SparkSession, found: CrossValidatorModel) -> DataFrame:
-    """(params, rmse) per combination, best first."""
-    rows = []
-    for params, score in zip(found.getEstimatorParamMaps(), found.avgMetrics):
-        rows.append((json.dumps({p.name: v for p, v in params.items()}, sort_keys=True), float(score)))
-    return spark.createDataFrame(rows, "params string, rmse double").orderBy("rmse", "params")
 
 
-def best_parameters(found: CrossValidatorModel) -> dict:
-    """The combination with the lowest mean error; of equal ones the first."""
-    scores = list(found.avgMetrics)
-    return found.getEstimatorParamMaps()[scores.index(min(scores))]
+def smaller_forests(rows: DataFrame, nodes: DataFrame, trees: Sequence[int], depths: Sequence[int]) -> DataFrame:
+    """Predictions of all smaller forests within one: of its first trees, each cut at a depth, where a node's
+    own mean is what the tree would predict. Adds ``predictions``, by rising trees and then depth. The
+    nodes, as large as the model, which fits the driver, go to every task."""
+    ship(rows.sparkSession)
+    trees, depths = sorted(trees), sorted(depths)
+    table = nodes.filter(F.col("tree") < trees[-1]).orderBy("tree", "id").toArrow()
+    first = np.searchsorted(table["tree"].to_numpy(), np.arange(trees[-1]))  # ids count from 0 within a tree
+    feature, threshold, left, right, mean = (table[c].to_numpy() for c in ("feature", "threshold", "left", "right", "prediction"))
+    spread = rows.withColumn("_x", vector_to_array("features")).drop("features")
+    schema = spread.drop("_x").withColumn("predictions", F.array(F.lit(0.0))).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.stack(batch["_x"].to_pylist()) if batch.num_rows else np.zeros((0, 1))
+            sums, out, each = np.zeros((batch.num_rows, len(depths))), [], np.arange(batch.num_rows)
+            for t in range(trees[-1]):
+                at, found = np.full(batch.num_rows, first[t]), []
+                for depth in range(depths[-1] + 1):
+                    if depth in depths:
+                        found.append(mean[at])
+                    inner = left[at] >= 0
+                    below = x[each, np.where(inner, feature[at], 0)] <= threshold[at]
+                    at = np.where(inner, first[t] + np.where(below, left[at], right[at]), at)
+                sums += np.stack(found, axis=1)
+                out += [sums / (t + 1)] if t + 1 in trees else []
+            values = np.concatenate(out, axis=1)
+            width = values.shape[1]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * width, pa.int32()), pa.array(values.ravel()))
+            names = [n for n in batch.schema.names if n != "_x"]
+            yield pa.RecordBatch.from_arrays([*[batch[n] for n in names], lists], [*names, "predictions"])
+
+    return spread.mapInArrow(run, schema)
+
+
+def forest_search(
+    frame: DataFrame, columns: Sequence[str] = MODEL_FEATURES, trees: Sequence[int] = FOREST_GRID["trees"],
+    depths: Sequence[int] = FOREST_GRID["depth"], bounds: Sequence[int] | None = None, folds: int = 3, parallelism: int = 3,
+    partition_rows: int = 50_000, seed: int = 42,
+) -> DataFrame:
+    """(params, rmse) of every combination of trees, depth and leaf bound, best first: the mean over ``folds``
+    consecutive stretches of time, each held out once, with NULLs filled by the means of the others.
+
+    One forest is fitted for each fold and leaf bound, with the most trees and the greatest depth; all
+    smaller ones are read from its nodes, so combinations share trees. A learner passes statistics of every
+    node between partitions, so the input has no more of them than its rows need.
+    """
+    spark = frame.sparkSession
+    folded = written(time_blocks(frame, folds), "folds")
+    bounds = leaf_bounds() if bounds is None else sorted(bounds)
+    trees, depths = sorted(trees), sorted(depths)
+    grid = list(product(trees, depths))
+    sizes = {r["fold"]: r["n"] for r in folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    filled = {k: written(impute_means(folded, folded.filter(F.col("fold") != k), columns), "fold") for k in sizes}
+
+    def scored(task: tuple[int, int]) -> list[tuple]:
+        fold, bound = task
+        parts = max(1, -(-(sum(sizes.values()) - sizes[fold]) // partition_rows))
+        train, test = filled[fold].filter(F.col("fold") != fold), filled[fold].filter(F.col("fold") == fold)
+        forest = random_forest(trees[-1], depths[-1], 2 * bound, seed)
+        found = smaller_forests(assemble(test, columns), node_table(forest.fit(training_set(train, columns, parts))), trees, depths)
+        errors = [F.avg((F.col("label") - F.get("predictions", F.lit(i))) ** 2) for i in range(len(grid))]
+        return [(fold, n, d, bound, e**0.5) for (n, d), e in zip(grid, found.agg(*errors).first())]
+
+    with ThreadPool(parallelism) as pool:
+        rows = [r for part in pool.map(scored, list(product(sorted(sizes), bounds))) for r in part]
+    scores = spark.createDataFrame(rows, "fold int, numTrees int, maxDepth int, minInstancesPerNode int, rmse double")
+    means = scores.groupBy("maxDepth", "minInstancesPerNode", "numTrees").agg(F.avg("rmse").alias("rmse"))
+    params = F.to_json(F.struct("maxDepth", "minInstancesPerNode", "numTrees"))
+    return means.select(params.alias("params"), "rmse").orderBy("rmse", "params")
+
+
+def best_forest(scores: DataFrame, seed: int = 42) -> RandomForestRegressor:
+    """A forest of the parameters with the lowest error; of equal ones the first by name."""
+    params = json.loads(scores.orderBy("rmse", "params").first()["params"])
+    return random_forest(params["numTrees"], params["maxDepth"], 2 * params["minInstancesPerNode"], seed)
 
 
 def forecast_pipeline(train: DataFrame, estimator, columns: Sequence[str] = MODEL_FEATURES) -> PipelineModel:
-    """Imputation, scaling, assembly and model as one fitted, storable unit."""
-    columns = list(columns)
+    """Imputation, scaling (by the population sd, as ``standardise``), assembly and model as one fitted,
+    storable unit."""
+    columns, rows = list(columns), train.count()
     stages = [
         Imputer(strategy="mean", inputCols=columns, outputCols=columns),
         VectorAssembler(inputCols=columns, outputCol="raw_features"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
+        StandardScaler(inputCol="raw_features", outputCol="sample_features", withMean=True, withStd=True),
+        ElementwiseProduct(
+            scalingVec=Vectors.dense([(rows / max(rows - 1, 1)) ** 0.5] * len(columns)), inputCol="sample_features", outputCol="features"
+        ),
         estimator,
     ]
     return Pipeline(stages=stages).fit(train)
 
 
+def model_record(spark: SparkSession, model: PipelineModel, scores: DataFrame, columns: Sequence[str] = MODEL_FEATURES) -> DataFrame:
+    """One row for the store beside a model: its parameters and their search error, and its inputs in order."""
+    top = scores.orderBy("rmse", "params").first()
+    rows = [(type(model.stages[-1]).__name__, top["params"], top["rmse"], list(columns))]
+    return spark.createDataFrame(rows, "model string, params string, rmse double, features array<string>")
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """The inputs' names are part of the stored assembler stage."""
     model.write().overwrite().save(path)

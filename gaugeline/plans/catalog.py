@@ -1284,27 +1284,35 @@ def _(spark, sf):
     return rg.cv_summary(rg.expanding_cv(rg.training_set(train), models))
 
 
-def _searched(train):
-    """The whole declared grid, ``rg.FOREST_GRID``."""
-    forest = rg.random_forest()
-    return forest, rg.grid_search(rg.training_set(train), forest, rg.forest_grid(forest))
+#: Where the search's score table of a session and data folder is stored.
+_SEARCHES: dict[tuple[str, str], str] = {}
+
+
+def _searched(spark, sf):
+    """The scores of the whole declared grid, ``rg.FOREST_GRID``, searched once and stored."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _SEARCHES:
+        train = rg.split_by_time(_frame(spark, sf)).filter("split = 'train'").drop("split")
+        path = tables.scratch(spark, "search")
+        rg.forest_search(train).write.parquet(path)
+        _SEARCHES[key] = path
+    return spark.read.parquet(_SEARCHES[key])
 
 
 @query("K19_grid_search")
 def _(spark, sf):
-    return rg.grid_scores(spark, _searched(_split(spark, sf)[0])[1])
+    return _searched(spark, sf)
 
 
 @query("K20_stored_pipeline")
 def _(spark, sf):
-    """The best of the search, refitted on all training rows, stored, loaded and scored."""
+    """The best of the search, refitted on all training rows, stored with its record, loaded and scored."""
     split = written(rg.split_by_time(_frame(spark, sf)), "split")
-    train = split.filter("split = 'train'")
-    forest, found = _searched(rg.impute_means(train))
-    winner = forest.copy(rg.best_parameters(found))
-    path = tables.scratch(spark, "model")
-    rg.save_model(rg.forecast_pipeline(train, winner), path)
-    scored = rg.load_model(path).transform(split.filter("split = 'test'"))
+    scores, path = _searched(spark, sf), tables.scratch(spark, "model")
+    model = rg.forecast_pipeline(split.filter("split = 'train'"), rg.best_forest(scores))
+    rg.save_model(model, f"{path}/model")
+    rg.model_record(spark, model, scores).write.parquet(f"{path}/record")
+    scored = rg.load_model(f"{path}/model").transform(split.filter("split = 'test'"))
     return rg.metrics(scored.select("label", "prediction"))
 
 

@@ -105,11 +105,20 @@ def test_date_spine_excludes_its_end(spark):
     assert days == [dt.date(2023, 12, 30), dt.date(2023, 12, 31), dt.date(2024, 1, 1)]
 
 
-def test_join_dimension_beyond_the_limit(spark):
+def test_join_dimension_is_broadcast_by_size_alone(spark):
     fact = spark.range(100).select((F.col("id") % 10).alias("k"), "id")
     dim = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
-    for limit in (3, 100):
-        assert dimensions.join_dimension(fact, dim, "k", limit=limit).filter("d = k * 2").count() == 100
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(key)
+    try:
+        for limit, kind in (("10m", "BroadcastHashJoin"), ("-1", "SortMergeJoin")):
+            spark.conf.set(key, limit)
+            joined = dimensions.join_dimension(fact, dim, "k")
+            assert joined.filter("d = k * 2").count() == 100
+            assert kind in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, usual)
+
 
 
 def test_labels(spark):

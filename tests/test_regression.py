@@ -85,15 +85,50 @@ def test_time_blocks_do_not_split_a_day(data):
     assert len(sizes) == 6 and min(sizes) == max(sizes) == 50
 
 
-def test_expanding_cv_and_grid(data, spark):
+def test_expanding_cv(data, spark):
     frame = rg.assemble(data[0], COLUMNS)
     scores = rg.expanding_cv(frame, {"line": rg.least_squares()}, splits=3)
     assert scores.count() == 3 and 0.3 < rg.cv_summary(scores).first().rmse_mean < 0.8
-    tree = rg.random_forest(trees=3, depth=2)
-    grid = rg.forest_grid(tree, trees=(3,), depth=(2, 4), min_split=(10,), min_leaf=(1,))
-    table = rg.grid_scores(spark, rg.grid_search(frame, tree, grid)).collect()
-    assert len(table) == 2 and table[0].rmse <= table[1].rmse
-    assert len(rg.forest_grid(rg.random_forest())) == 27
+
+
+def test_smaller_forests_are_those_fitted_to_their_size(data, spark):
+    frame = rg.assemble(data[0].repartition(1), COLUMNS)
+    whole = rg.decision_tree(depth=9, min_split=4)
+    for depth in (1, 3, 5, 9):  # a tree of a lesser depth is the deep one cut off
+        alone = rg.decision_tree(depth=depth, min_split=4).fit(frame).transform(frame)
+        want = [r.prediction for r in alone.orderBy("date", "location_name").collect()]
+        forest = rg.random_forest(trees=1, depth=9, min_split=4).setBootstrap(False).fit(frame)
+        cut = rg.smaller_forests(frame, rg.node_table(forest), [1], [depth, 9]).orderBy("date", "location_name").collect()
+        assert [r.predictions[0] for r in cut] == pytest.approx(want)
+        deep = whole.fit(frame).transform(frame).orderBy("date", "location_name").collect()
+        assert [r.predictions[-1] for r in cut] == pytest.approx([r.prediction for r in deep])
+    forest = rg.random_forest(trees=7, depth=6).fit(frame)
+    mine = rg.smaller_forests(frame, rg.node_table(forest), [2, 7], [3, 6]).orderBy("date", "location_name").collect()
+    theirs = forest.transform(frame).orderBy("date", "location_name").collect()
+    assert [r.predictions[3] for r in mine] == pytest.approx([r.prediction for r in theirs])
+    first = [t.transform(frame).orderBy("date", "location_name").collect() for t in forest.trees[:2]]
+    assert [r.predictions[1] for r in mine] == pytest.approx([(a.prediction + b.prediction) / 2 for a, b in zip(*first)])
+
+
+def test_forest_search_scores_every_combination(data, spark):
+    gaps = data[0].withColumn("x1", F.when(F.col("x1") > -9, F.col("x1")))
+    scores = rg.forest_search(gaps, COLUMNS, trees=(2, 5), depths=(1, 3), bounds=(5, 40)).collect()
+    seen = {r.params for r in scores}
+    assert len(scores) == len(seen) == 8 and '{"maxDepth":3,"minInstancesPerNode":40,"numTrees":5}' in seen
+    assert [r.rmse for r in scores] == sorted(r.rmse for r in scores)
+    folded = rg.time_blocks(gaps, 3)
+    errors = []  # the largest forest of one bound, fitted alone
+    for k in range(3):
+        train = folded.filter(F.col("fold") != k)
+        filled = rg.impute_means(folded, train, COLUMNS)
+        model = rg.random_forest(5, 3, 10).fit(rg.training_set(filled.filter(F.col("fold") != k), COLUMNS, 1))
+        held_out = model.transform(rg.assemble(filled.filter(F.col("fold") == k), COLUMNS))
+        errors.append(held_out.agg(F.sqrt(F.avg((F.col("label") - F.col("prediction")) ** 2))).first()[0])
+    found = {r.params: r.rmse for r in scores}['{"maxDepth":3,"minInstancesPerNode":5,"numTrees":5}']
+    assert found == pytest.approx(sum(errors) / 3, rel=0.05)  # rows may be drawn in another order
+    assert rg.leaf_bounds() == [5, 10, 15]
+    best = rg.best_forest(spark.createDataFrame(scores))
+    assert f'"numTrees":{best.getNumTrees()}' in scores[0].params and f'"maxDepth":{best.getMaxDepth()}' in scores[0].params
 
 
 def test_metrics(spark):
@@ -112,6 +147,15 @@ def test_stored_pipeline_scores_the_same(data, tmp_path):
     again = rg.load_model(str(tmp_path / "m"))
     one, two = (sorted(r.prediction for r in m.transform(frame).collect()) for m in (model, again))
     assert one == two
+    filled = rg.impute_means(frame, frame, COLUMNS)  # scaled by the population sd, as standardise does
+    by_hand = rg.assemble(rg.standardise(filled, filled, COLUMNS), COLUMNS)
+    first, second = (
+        [list(r.features) for r in f.orderBy("date", "location_name").collect()] for f in (model.transform(frame), by_hand)
+    )
+    assert np.array(first) == pytest.approx(np.array(second))
+    scores = frame.sparkSession.createDataFrame([('{"numTrees":3}', 0.5)], "params string, rmse double")
+    record = rg.model_record(frame.sparkSession, model, scores, COLUMNS).first()
+    assert record.features == list(COLUMNS) and record.rmse == 0.5 and record.params == '{"numTrees":3}'
 
 
 def test_importances_are_ordered(data, spark):
