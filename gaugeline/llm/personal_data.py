@@ -13,6 +13,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +32,15 @@ Span = tuple[int, int, int]  # kind, start, end
 
 @dataclass(frozen=True)
 class Settings:
+    """``window`` and ``stride`` of the tagger in characters, and its training. ``address``: where the tags of an
+    address do not end where its form does, the form is looked for so many characters to both sides (no
+    address is longer than 320); addresses whose tags fit their form have no such bound."""
+
     window: int = 48
     stride: int = 24
     sample: int = 600  # training windows of each kind at most, and of windows without a span
     steps: int = 400
+    address: int = 320
     seed: int = 11
 
 
@@ -131,9 +137,6 @@ ADDED = (
     re.compile(r"(?:\+|\(|00|[0-9])[0-9 ().\-/]*[ ().\-/][0-9 ().\-/]*[0-9]"),
 )
 
-#: No address is longer.
-ADDRESS = 320
-
 
 def fits(text: str, kind: int, start: int, end: int) -> bool:
     """Whether a proposed span has the form of its kind and stands free."""
@@ -145,7 +148,7 @@ def fits(text: str, kind: int, start: int, end: int) -> bool:
     return kind != 3 or 9 <= len(digits_of(part)) <= 15
 
 
-def added_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
+def added_spans(text: str, tags: np.ndarray, base: list[Span], settings: Settings = Settings()) -> list[Span]:  # noqa: B008
     """Runs of equal tags that fit their kind, and addresses that a run of the kind lies on, that touch
     no other span."""
     taken = np.zeros(len(text) + 1, bool)
@@ -164,7 +167,7 @@ def added_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
         spans = [(start, end)] if start < end else []
         if spans and kind == 0 and not fits(text, kind, start, end):
             # The tags say that there is an address, its form where it begins and ends.
-            near = ADDED[0].finditer(text, max(0, start - ADDRESS), end + ADDRESS)
+            near = ADDED[0].finditer(text, max(0, start - settings.address), end + settings.address)
             spans = [m.span() for m in near if m.start() < end and m.end() > start]
         for s, e in spans:
             if not taken[s:e].any() and fits(text, kind, s, e):
@@ -207,8 +210,8 @@ def tag_texts(texts: list[str], model: dict[str, np.ndarray], settings: Settings
 
 
 def labelled_windows(docs: DataFrame, settings: Settings, text: str) -> DataFrame:
-    """Windows around pattern spans, and around triggers without one: ``kind`` (4: none), ``rank``
-    (a hash), ``text``, ``tags`` (a digit for each character). Windows with a dropped match are left
+    """Windows around pattern spans, and around all triggers without one, the first ``sample`` of each kind by
+    ``rank`` (a hash) in each slice: ``kind`` (4: none), ``text``, ``tags`` (a digit for each character). Windows with a dropped match are left
     out, as their truth is not known."""
     ship(docs.sparkSession)
     ddl = "kind int, rank bigint, text string, tags string"
@@ -226,15 +229,18 @@ def labelled_windows(docs: DataFrame, settings: Settings, text: str) -> DataFram
                 for _, s, e in dropped:
                     unclear[s:e] = True
                 centres = [(k, (s + e) // 2) for k, s, e in good]
-                centres += [(4, m.start()) for m in TRIGGERS.finditer(whole) if not tags[m.start()]][:2]
+                centres += [(4, m.start()) for m in TRIGGERS.finditer(whole) if not tags[m.start()]]
                 for k, centre in centres:
                     mix = int.from_bytes(hashlib.blake2b(f"{centre}:{whole[:200]}".encode("utf-8", "replace"), digest_size=7).digest(), "big")
                     start = max(0, centre - settings.window // 2 + mix % 17 - 8)
                     end = min(len(whole), start + settings.window)
                     if not unclear[start:end].any():
                         rows.append({"kind": k, "rank": mix, "text": whole[start:end], "tags": "".join(map(str, tags[start:end]))})
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema)
+            # The first ``sample`` windows of each kind over all texts are among the first of each slice.
+            rows.sort(key=lambda r: (r["kind"], r["rank"], r["text"], r["tags"]))
+            first = [r for _, own in groupby(rows, key=lambda r: r["kind"]) for r in islice(own, settings.sample)]
+            if first:
+                yield pa.RecordBatch.from_pylist(first, schema)
 
     return docs.select(docs[text].alias("_text")).mapInArrow(run, ddl)
 
@@ -309,7 +315,7 @@ def spans_of(texts: pa.Array, model: dict[str, np.ndarray] | None, settings: Set
     tags = tag_texts(some, model, settings) if model else [np.zeros(len(t), np.int8) for t in some]
     for row, text, tag in zip(rows.tolist(), some, tags):
         base = base_spans(text)[0]
-        out[row] = (base, added_spans(text, tag, base))
+        out[row] = (base, added_spans(text, tag, base, settings))
     return out
 
 

@@ -183,7 +183,8 @@ def flips(width: int, threshold: int) -> list[int]:
 
 
 def allotted(counts: list[np.ndarray], distance: int) -> list[int]:
-    """Thresholds with the least predicted work: candidates met plus probes sent."""
+    """Thresholds with the least predicted work: candidates met plus probes sent. None is tried above 2 or an
+    even share of the distance, whichever is more, as the probes grow with its power."""
     partitions = len(counts)
     total = distance - partitions + 1
 
@@ -196,7 +197,7 @@ def allotted(counts: list[np.ndarray], distance: int) -> list[int]:
         near = sum(c[index ^ m] for m in masks)
         return float(c @ near) / 64 + c.sum() * len(masks)  # a comparison costs far less than a row
 
-    choices = range(-1, min(distance, 2) + 1)
+    choices = range(-1, min(distance, max(2, -(-total // partitions))) + 1)
     best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
     for p in range(partitions):
         after: dict[int, tuple[float, list[int]]] = {}

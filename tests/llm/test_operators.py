@@ -544,3 +544,33 @@ def test_fingerprints_add_and_take_away(spark):
         (F.length("a") == fingerprints.HEX).alias("length"),
     ).first()
     assert row["sum"] and row["rest"] and row["length"]
+
+
+def test_navigation_lines():
+    rules = quality_rules.Rules()
+    text = "This is a line of prose, which ends as prose does.\nIt goes on here."
+    menus = [
+        "Home About Products Contact Login", "Home / About us / Contact", "Home · Neues · Über uns · Kontakt", "Start » Shop » Shoes",
+        "News > World > Europe", "Home\nAbout us\n\nProducts\nContact",
+    ]
+    plain = ["Anna und Berta gehen heim", "He gave and / or took", "Dr. Anna Berta Carl", "One\nTwo words\nThree", "Yes.\nNo.\nOh.\nWell.", "a\nb\nc\nd"]
+    for menu in menus:
+        page = f"{text}\n{menu}\n{text}x"
+        assert quality_rules.judge(pa.array([page]), rules)["n_lost_words"].tolist() == [len(menu.split()) + 11], menu  # the first line of prose is there twice
+    for line in plain:
+        assert quality_rules.judge(pa.array([line]), rules)["n_lost_words"].tolist() == [0], line
+
+
+def test_navigation_rules_as_sql(spark):
+    import duckdb
+
+    draw = random.Random(6)
+    words = ["Home", "About", "us", "/", "·", "»", ">", "|", "É", "news", "End.", "Über", "A", "//", "-"]
+    texts = ["\n".join(" ".join(draw.choices(words, k=draw.randint(0, 6))) + draw.choice(("", " ", "\t")) for _ in range(draw.randint(1, 12))) for _ in range(300)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    duck = duckdb.connect()
+    documents = pa.table({"doc_id": [r[0] for r in rows], "text": texts})
+    duck.register("documents", documents)
+    theirs = {r[0]: r[-1] for r in duck.execute(f"select doc_id, n_lost_words from ({quality_rules.rules_sql()})").fetchall()}
+    ours = quality_rules.judge(pa.array(texts), quality_rules.Rules())["n_lost_words"].tolist()
+    assert ours == [theirs[i] for i in range(len(texts))]
