@@ -23,8 +23,6 @@ LANES, RATE = 64, 8
 SKETCHES = 9
 IDENTITY = 4
 HEX = 8 * (IDENTITY + 1) + 2 * LANES * SKETCHES
-#: Buckets of the neighbour search hold about so many rows.
-BUCKET_ROWS = 10_000
 
 
 def paragraphs(text: Column) -> Column:
@@ -41,14 +39,29 @@ def _bound(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+#: Places of a sketch kept in one number, a byte each; the top byte stays free for carries.
+PACKED = 7
+LOW_BITS, HIGH_BITS = 0x7F7F7F7F7F7F7F, 0x80808080808080
+
+
 def _sketch(hashes: Column, level: int) -> Column:
     """64 sums as hexadecimal bytes. A hash is cut into level bits, place and byte."""
     taken = hashes if level == 0 else F.filter(hashes, lambda h: h.bitwiseAND(RATE**level - 1) == 0)
     # Each hash becomes place * 256 + byte.
     keyed = F.transform(taken, lambda h: F.shiftrightunsigned(h, 32).bitwiseAND(LANES * 256 - 1))
-    empty = F.array_repeat(F.lit(0).cast("long"), LANES)
-    add = lambda acc, k: F.transform(acc, lambda v, i: F.when(i == F.shiftright(k, 8), (v + k.bitwiseAND(255)) % 256).otherwise(v))
-    return F.aggregate(keyed, empty, add, lambda acc: F.array_join(F.transform(acc, lambda v: F.lpad(F.hex(v), 2, "0")), ""))
+    count = -(-LANES // PACKED)
+    empty = F.array_repeat(F.lit(0).cast("long"), count)
+
+    def put(sums: Column, k: Column) -> Column:
+        place = F.shiftright(k, 8)
+        home = F.floor(place / PACKED).cast("int")
+        byte = F.call_function("shiftleft", k.bitwiseAND(255), (8 * (PACKED - 1 - place % PACKED)).cast("int"))
+        # Bytes are added without carrying into each other: their low seven bits, then the eighth.
+        added = lambda v: (v.bitwiseAND(LOW_BITS) + byte.bitwiseAND(LOW_BITS)).bitwiseXOR(v.bitwiseXOR(byte).bitwiseAND(HIGH_BITS))
+        return F.transform(sums, lambda v, i: F.when(i == home, added(v)).otherwise(v))
+
+    digits = lambda sums: F.array_join(F.transform(sums, lambda v: F.lpad(F.hex(v), 2 * PACKED, "0")), "")
+    return F.substring(F.aggregate(keyed, empty, put, digits), 1, 2 * LANES)
 
 
 def _hex32(value: Column) -> Column:
@@ -107,63 +120,65 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(F.least(shared, F.lit(1.0)))
 
 
-def neighbours(docs: DataFrame, key: str, text: str, rows: int = BUCKET_ROWS) -> DataFrame:
+def neighbours(docs: DataFrame, key: str, text: str, ranges: int | None = None) -> DataFrame:
     """``_key``, ``_text`` and ``_next``, the text of the row with the next smaller key; the row with
-    the smallest key gets the text of that with the largest.
+    the smallest key gets the text of that with the largest. Keys are whole numbers.
 
-    Keys are cut into ranges of about ``rows`` rows at approximate quantiles; the first row of each
-    range also goes to the range before it as a guest, so the whole order is known after one shuffle.
+    Rows are cut by (key, hash of the text) into as many ranges as the session shuffles into; the first row
+    of each range, one of it, also goes to the range before it as a guest, so the whole order is known after
+    one shuffle of the texts.
     """
+    ranges = ranges or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = F.coalesce(docs[key].cast("long"), F.lit(-(1 << 63)))
     narrow = docs.select(docs[key].alias("_key"), F.coalesce(docs[text], F.lit("")).alias("_text"), order.alias("_order"))
-    bounds = _bounds(narrow.select("_order"), rows)
-    bucket = _bucket(F.col("_order"), bounds)
-    heads = narrow.select("_order").groupBy(bucket.alias("b")).agg(F.max("_order").alias("head"))
-    firsts = {r["b"]: r["head"] for r in heads.collect()}  # one row for each range
-    used = sorted(firsts)
-    # In descending order a range is followed by the used range below it, the last by the first.
-    above = {b: used[(i + 1) % len(used)] for i, b in enumerate(used)}
-    every = range(len(bounds) + 1)
-    head = F.get(_numbers([firsts.get(b, 0) for b in every]), F.col("_bucket"))
-    host = F.get(_numbers([above.get(b, 0) for b in every]), F.col("_bucket")).cast("int")
-    own = F.struct(F.col("_bucket").alias("b"), F.lit(False).alias("guest"))
-    guest = F.struct(host.alias("b"), F.lit(True).alias("guest"))
-    placed = (
-        narrow.withColumn("_bucket", bucket)
-        .withColumn("_place", F.explode(F.when(F.col("_order") == head, F.array(own, guest)).otherwise(F.array(own))))
-        .select("_key", "_text", "_order", F.col("_place.b").alias("_range"), F.col("_place.guest").alias("_guest"), F.xxhash64("_text").alias("_tie"))
-    )
+    narrow = narrow.withColumn("_tie", F.xxhash64("_text"))
+    lows, heads = _cuts(narrow.select("_order", "_tie"), ranges)
+    every = range(len(lows))
+    rows = narrow.withColumn("_range", _range(F.col("_order"), F.col("_tie"), lows))
+    is_head = (F.col("_order") == _at([h[0] for h in heads], "_range")) & (F.col("_tie") == _at([h[1] for h in heads], "_range"))
+    guests = rows.filter(is_head).dropDuplicates(["_range"])
+    # In descending order a range is followed by the one below it, and the last by the first.
+    host = _at([(r + 1) % max(1, len(lows)) for r in every], "_range").cast("int")
+    both = rows.withColumn("_guest", F.lit(False)).unionByName(guests.withColumns({"_range": host, "_guest": F.lit(True)}))
+    placed = both.repartitionById(max(1, len(lows)), F.col("_range"))
     return placed.withColumn("_next", F.lead("_text").over(_in_order()))
 
 
 def _in_order():
-    """The window over a range in descending order, guests at the end."""
-    return Window.partitionBy("_range").orderBy("_guest", F.col("_order").desc(), "_tie", "_text")
+    """The window over a range in descending order, the guest at the end."""
+    return Window.partitionBy("_range").orderBy("_guest", F.col("_order").desc(), F.col("_tie").desc(), "_text")
 
 
-def _numbers(values: list[int]) -> Column:
-    """An array constant of any length as one short expression."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+def _at(values: list[int], index: str) -> Column:
+    """The value of a constant list, given as one short expression, at an index."""
+    return F.get(F.split(F.lit(",".join(map(str, values or [0]))), ",").cast("array<bigint>"), F.col(index))
 
 
-def _bounds(keys: DataFrame, rows: int) -> list[int]:
-    """Keys that cut the table into ranges of about ``rows`` rows."""
-    n = keys.count()
-    parts = max(1, round(n / rows))
-    if parts == 1:
-        return []
-    shares = [i / parts for i in range(1, parts)]
-    cuts = keys.agg(F.percentile_approx("_order", F.array(*map(F.lit, shares)), max(10_000, 20 * parts))).first()[0]
-    return sorted(set(cuts))
+Pair = tuple[int, int]
 
 
-def _bucket(value: Column, bounds: list[int]) -> Column:
-    """The number of bounds at or below the value, by halving."""
-    if not bounds:
+def _cuts(keys: DataFrame, ranges: int) -> tuple[list[Pair], list[Pair]]:
+    """The least and the greatest (order, tie) of each range, by rising order: two rows for each task."""
+    pair = F.struct("_order", "_tie")
+    placed = keys.repartitionByRange(ranges, "_order", "_tie").groupBy(F.spark_partition_id().alias("r"))
+    found = placed.agg(F.min(pair).alias("low"), F.max(pair).alias("head")).collect()
+    found = sorted((tuple(r["low"]), tuple(r["head"])) for r in found)
+    return [r[0] for r in found], [r[1] for r in found]
+
+
+def _range(order: Column, tie: Column, lows: list[Pair]) -> Column:
+    """The number of the range that a row lies in, by halving."""
+    if len(lows) < 2:
         return F.lit(0)
-    array, step = _numbers(bounds), 1 << (len(bounds).bit_length() - 1)
+    bounds = lows[1:]
+    arrays = [F.split(F.lit(",".join(str(b[i]) for b in bounds)), ",").cast("array<bigint>") for i in (0, 1)]
+    step = 1 << (len(bounds).bit_length() - 1)
     steps = F.array(*[F.lit(step >> i) for i in range(step.bit_length())])
-    take = lambda at, s: F.when((at + s <= len(bounds)) & (F.get(array, at + s - 1) <= value), at + s).otherwise(at)
+
+    def take(at: Column, s: Column) -> Column:
+        low, low_tie = (F.get(a, at + s - 1) for a in arrays)
+        return F.when((at + s <= len(bounds)) & ((low < order) | ((low == order) & (low_tie <= tie))), at + s).otherwise(at)
+
     return F.aggregate(steps, F.lit(0), take)
 
 
@@ -174,7 +189,7 @@ def edited(text: Column, after: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), n - half), F.substring(after, F.lit(1), half))
 
 
-def document_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int = BUCKET_ROWS) -> DataFrame:
+def document_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
     """Per row: key, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
     ``near_edited`` and ``near_next``.
 
@@ -182,7 +197,7 @@ def document_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "tex
     descending order, rows of equal keys are ordered by a hash of their text, a single row is its own
     neighbour, and an empty table gives no rows. Other columns are not read.
     """
-    near = neighbours(docs, key, text, rows)
+    near = neighbours(docs, key, text, ranges)
     changed = near.withColumns({"_edited": edited(F.col("_text"), F.col("_next")), "_print": fingerprint(F.col("_text"))})
     # Same ranges and order as before: no second shuffle or sort.
     after = changed.withColumn("_after", F.lead("_print").over(_in_order())).filter(~F.col("_guest"))

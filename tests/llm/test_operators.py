@@ -509,7 +509,7 @@ def test_page_texts(spark):
 
 
 def test_fingerprints(docs, rows, nothing):
-    found = fingerprints.document_fingerprints(docs, rows=5)
+    found = fingerprints.document_fingerprints(docs, ranges=9)
     ordered = sorted(rows, key=lambda r: -(r[0] if r[0] is not None else -1))
     assert found.count() == len(rows)
     by_id = {r["doc_id"]: r for r in found.collect() if r["doc_id"] is not None}
