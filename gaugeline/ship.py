@@ -8,6 +8,11 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Rows travel to Python workers in batches of about so many bytes, whatever the length of texts: both the
+#: executor and the worker hold a batch whole.
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: One archive for each application; the driver serves it as long as the process lives.
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
@@ -18,6 +23,8 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
+    if BATCH_SETTING not in dict(context.getConf().getAll()):
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     package = Path(__file__).resolve().parent
     folder = _shipped[context.applicationId] = tempfile.TemporaryDirectory()
     copy = Path(folder.name) / "copy" / package.name
