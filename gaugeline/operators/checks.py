@@ -11,11 +11,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-
 @dataclass(frozen=True)
 class Check:
+    """``violations`` gives the failing rows. A check of single rows or values of one table also names the
+    ``table`` and its ``rule``, so that a run can count all rules of one kind in one pass:
+    ("row", condition), ("value", column, condition): distinct failing values, or ("key", column): values
+    that occur twice or more."""
+
     name: str
     violations: Callable[[], DataFrame]
+    table: DataFrame | None = None
+    rule: tuple = ()
+
+
+def row_check(name: str, df: DataFrame, condition: Column, columns: Sequence[str] = ("*",)) -> Check:
+    return Check(name, lambda: df.filter(condition).select(*columns), df, ("row", condition))
+
+
+def value_check(name: str, df: DataFrame, column: str, bad: Column) -> Check:
+    return Check(name, lambda: _bad_values(df, column, bad), df, ("value", column, bad))
+
+
+def key_check(name: str, df: DataFrame, column: str) -> Check:
+    return Check(name, lambda: unique(df, column), df, ("key", column))
 
 
 def unique(df: DataFrame, column: str) -> DataFrame:
@@ -40,7 +58,11 @@ def non_negative(df: DataFrame, column: str) -> DataFrame:
 
 
 def in_range(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
-    return _bad_values(df, column, (F.col(column) < low) | (F.col(column) > high))
+    return _bad_values(df, column, _outside(column, low, high))
+
+
+def _outside(column: str, low: float, high: float) -> Column:
+    return (F.col(column) < low) | (F.col(column) > high)
 
 
 def valid_humidity(df: DataFrame, column: str = "humidity") -> DataFrame:
@@ -120,21 +142,28 @@ def non_negative_totals(daily: DataFrame) -> DataFrame:
     return daily.filter(F.col("total_precipitation") < 0).select("location_name", "date", "total_precipitation")
 
 
-def plausible_rolling_means(features: DataFrame, week: float = 15.0, month: float = 20.0) -> DataFrame:
-    far = (F.abs(F.col("avg_temperature") - F.col("temp_rolling_7d_prev")) > week) | (
+ROLLING_MEANS = ("location_name", "date", "avg_temperature", "temp_rolling_7d_prev", "temp_rolling_30d_prev")
+ORDERED = ("location_name", "date", "min_temperature", "avg_temperature", "max_temperature")
+
+
+def _far_rolling_means(week: float = 15.0, month: float = 20.0) -> Column:
+    return (F.abs(F.col("avg_temperature") - F.col("temp_rolling_7d_prev")) > week) | (
         F.abs(F.col("avg_temperature") - F.col("temp_rolling_30d_prev")) > month
     )
-    return features.filter(far).select(
-        "location_name", "date", "avg_temperature", "temp_rolling_7d_prev", "temp_rolling_30d_prev"
-    )
 
 
-def ordered_temperatures(daily: DataFrame) -> DataFrame:
-    """Rows where min <= avg <= max is false; a NULL makes it unknown, which passes."""
+def plausible_rolling_means(features: DataFrame, week: float = 15.0, month: float = 20.0) -> DataFrame:
+    return features.filter(_far_rolling_means(week, month)).select(*ROLLING_MEANS)
+
+
+def _unordered_temperatures() -> Column:
+    """That min <= avg <= max is false; a NULL makes it unknown, which passes."""
     t = F.col("avg_temperature")
-    return daily.filter(~((F.col("min_temperature") <= t) & (t <= F.col("max_temperature")))).select(
-        "location_name", "date", "min_temperature", "avg_temperature", "max_temperature"
-    )
+    return ~((F.col("min_temperature") <= t) & (t <= F.col("max_temperature")))
+
+
+def ordered_temperatures(daily: DataFrame) -> DataFrame:
+    return daily.filter(_unordered_temperatures()).select(*ORDERED)
 
 
 def batch_shape(batch: DataFrame, required: Sequence[str], expected_rows: int) -> DataFrame:
@@ -172,13 +201,13 @@ def mart_checks(
     }
     suite = []
     for table, (df, keys, required) in tables.items():
-        suite += [Check(f"unique_{table}_{c}", lambda df=df, c=c: unique(df, c)) for c in keys]
-        suite += [Check(f"not_null_{table}_{c}", lambda df=df, c=c: not_null(df, c)) for c in required]
+        suite += [key_check(f"unique_{table}_{c}", df, c) for c in keys]
+        suite += [row_check(f"not_null_{table}_{c}", df, F.col(c).isNull()) for c in required]
     return suite + [
-        Check("valid_temperature_staged", lambda: valid_temperature(staged)),
-        Check("valid_humidity_staged", lambda: valid_humidity(staged)),
-        Check("non_negative_staged_precipitation", lambda: non_negative(staged, "precipitation")),
-        Check("non_negative_staged_wind_speed", lambda: non_negative(staged, "wind_speed")),
+        value_check("valid_temperature_staged", staged, "temperature", _outside("temperature", -50, 60)),
+        value_check("valid_humidity_staged", staged, "humidity", _outside("humidity", 0, 100)),
+        value_check("non_negative_staged_precipitation", staged, "precipitation", F.col("precipitation") < 0),
+        value_check("non_negative_staged_wind_speed", staged, "wind_speed", F.col("wind_speed") < 0),
         Check("enough_days", lambda: enough_days(daily)),
         Check("quality_at_least", lambda: quality_at_least(checked)),
         Check("continuous_days", lambda: continuous_days(daily)),
@@ -186,9 +215,9 @@ def mart_checks(
         Check("all_present", lambda: all_present(expected_sites, daily)),
         Check("one_row_per_day", lambda: one_row_per_day(daily)),
         Check("no_future_dates", lambda: no_future_dates(daily, as_of)),
-        Check("non_negative_totals", lambda: non_negative_totals(daily)),
-        Check("plausible_rolling_means", lambda: plausible_rolling_means(features)),
-        Check("ordered_temperatures", lambda: ordered_temperatures(daily)),
+        row_check("non_negative_totals", daily, F.col("total_precipitation") < 0, ("location_name", "date", "total_precipitation")),
+        row_check("plausible_rolling_means", features, _far_rolling_means(), ROLLING_MEANS),
+        row_check("ordered_temperatures", daily, _unordered_temperatures(), ORDERED),
     ]
 
 
@@ -200,24 +229,58 @@ def seed_checks(locations: DataFrame, seasons: DataFrame, thresholds: DataFrame)
     ]
     suite = []
     for table, df, keys, required in declared:
-        suite += [Check(f"unique_{table}_{c}", lambda df=df, c=c: unique(df, c)) for c in keys]
-        suite += [Check(f"not_null_{table}_{c}", lambda df=df, c=c: not_null(df, c)) for c in required]
+        suite += [key_check(f"unique_{table}_{c}", df, c) for c in keys]
+        suite += [row_check(f"not_null_{table}_{c}", df, F.col(c).isNull()) for c in required]
     return suite + [
-        Check("accepted_season_months", lambda: accepted_values(seasons, "month", range(1, 13))),
-        Check("accepted_seasons", lambda: accepted_values(seasons, "season", ("Dry Season", "Rainy Season"))),
+        value_check("accepted_season_months", seasons, "month", ~F.col("month").isin(*range(1, 13))),
+        value_check("accepted_seasons", seasons, "season", ~F.col("season").isin("Dry Season", "Rainy Season")),
     ]
 
 
 def run_checks(checks: Sequence[Check], store: str | None = None) -> DataFrame:
-    """(check_name, violations, status), one row per check. With ``store`` the violations of
-    each check are also written as a table under that folder."""
-    rows = []
+    """(check_name, violations, status), one row per check. All rules of a table on single rows are counted in
+    one pass, all on values in one grouping, all on keys in another. With ``store`` the violations of
+    each check are also written as a table under that folder, and counted there."""
+    counted: list[DataFrame] = []
+    groups: dict[tuple[int, str], list[Check]] = {}
     for check in checks:
-        found = check.violations()
         if store:
+            found = check.violations()
             path = f"{store.rstrip('/')}/{check.name}"
             found.write.mode("overwrite").parquet(path)
-            found = found.sparkSession.read.schema(found.schema).parquet(path)
-        rows.append(found.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(check.name).alias("check_name"), "violations"))
-    united = reduce(DataFrame.unionByName, rows)
+            counted.append(_counted(check.name, found.sparkSession.read.schema(found.schema).parquet(path)))
+        elif check.rule:
+            groups.setdefault((id(check.table), check.rule[0]), []).append(check)
+        else:
+            counted.append(_counted(check.name, check.violations()))
+    for (_, kind), own in groups.items():
+        counted.append(_rows_counted(own) if kind == "row" else _values_counted(own))
+    united = reduce(DataFrame.unionByName, counted)
     return united.withColumn("status", F.when(F.col("violations") == 0, "pass").otherwise("fail"))
+
+
+def _counted(name: str, found: DataFrame) -> DataFrame:
+    return found.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
+
+
+def _stacked(row: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row of counts c0, c1, ... as a row for each check."""
+    pairs = ", ".join(f"'{check.name}', c{i}" for i, check in enumerate(checks))
+    return row.selectExpr(f"stack({len(checks)}, {pairs}) as (check_name, violations)")
+
+
+def _rows_counted(checks: Sequence[Check]) -> DataFrame:
+    counts = [F.count(F.when(check.rule[1], 1)).alias(f"c{i}") for i, check in enumerate(checks)]
+    return _stacked(checks[0].table.agg(*counts), checks)
+
+
+def _values_counted(checks: Sequence[Check]) -> DataFrame:
+    """Distinct failing values, or values that occur twice or more, of several columns at once."""
+    keys = checks[0].rule[0] == "key"
+    cells = [
+        F.struct(F.lit(i).alias("i"), F.col(c.rule[1]).cast("string").alias("v"), (F.col(c.rule[1]).isNotNull() if keys else c.rule[2]).alias("on"))
+        for i, c in enumerate(checks)
+    ]
+    long = checks[0].table.select(F.explode(F.array(*cells)).alias("c")).filter("c.on").groupBy("c.i", "c.v")
+    found = long.agg(F.count(F.lit(1)).alias("n")).filter("n > 1" if keys else "n > 0")
+    return _stacked(found.agg(*[F.count(F.when(F.col("i") == i, 1)).alias(f"c{i}") for i in range(len(checks))]), checks)

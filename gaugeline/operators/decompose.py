@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from gaugeline.operators import frames
 from gaugeline.operators.dimensions import join_dimension
 from gaugeline.schema import SeriesSpec
+from gaugeline.session import written
 
 
 def seasonal_decompose(
@@ -41,17 +42,25 @@ def seasonal_decompose(
         full = (F.count("observed").over(frame) == 2 * half + 1) & F.col("_long")
         return {"trend": F.when(full, total / period)}
 
+    phase = ((F.col("_place") - 1) % period).alias("phase")
     if limit is None or not frames.has_large_group(series, key, limit):
-        ordered = Window.partitionBy(*key).orderBy(*order)
-        placed = long_enough.withColumns({**build(ordered), "_place": F.row_number().over(ordered)})
+        # One partition for each entity serves all windows.
+        ordered, whole = Window.partitionBy(*key).orderBy(*order), Window.partitionBy(*key)
+        placed = long_enough.withColumns({**build(ordered), "_place": F.row_number().over(ordered)}).withColumn("phase", phase)
+        same = Window.partitionBy(*key, "phase")
+        means = placed.withColumns({"_mean": F.avg(F.col("observed") - F.col("trend")).over(same), "_n": F.count(F.lit(1)).over(same)})
+        share = F.when(F.col("_mean").isNotNull(), 1.0 / F.col("_n"))  # the rows of a phase count as one
+        level = F.sum(F.col("_mean") * share).over(whole) / F.sum(share).over(whole)
+        joined = means.withColumn("seasonal", F.col("_mean") - level)
     else:
         numbered = frames.with_positions(long_enough, order, "_place", key)
         placed = frames.over_rows(numbered, key, ["_place"], build, half, half, limit, block_rows)
-    trended = placed.withColumn("phase", (F.col("_place") - 1) % period)
-    # phases: at most `period` rows per entity
-    phases = trended.groupBy(*key, "phase").agg(F.avg(F.col("observed") - F.col("trend")).alias("_mean"))
-    centred = phases.withColumn("seasonal", F.col("_mean") - F.avg("_mean").over(Window.partitionBy(*key))).drop("_mean")
-    return trended.join(centred, [*key, "phase"]).select(
+        placed = written(placed.withColumn("phase", phase), "trend")  # read twice, computed once
+        # phases: at most `period` rows per entity
+        phases = placed.groupBy(*key, "phase").agg(F.avg(F.col("observed") - F.col("trend")).alias("_mean"))
+        centred = phases.withColumn("seasonal", F.col("_mean") - F.avg("_mean").over(Window.partitionBy(*key))).drop("_mean")
+        joined = join_dimension(placed, centred, [*key, "phase"], "inner")
+    return joined.select(
         *key,
         spec.time,
         "observed",

@@ -15,6 +15,7 @@ from gaugeline.operators import ranks
 from gaugeline.operators.dimensions import join_dimension
 from gaugeline.operators.frames import beside, with_positions
 from gaugeline.operators.quantiles import long_form, quantiles
+from gaugeline.session import written
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
@@ -253,16 +254,18 @@ def kruskal(df: DataFrame, value: str, by: str) -> DataFrame:
     return row.select(h.alias("h"), (F.col("_groups") - 1).alias("df")).withColumn("p_value", cdf.p_chi2("h", "df"))
 
 
-def tukey_hsd(df: DataFrame, value: str, by: str, alpha: float = 0.05) -> DataFrame:
+def tukey_hsd(df: DataFrame, value: str, by: str, alpha: float = 0.05, max_groups: int = 200) -> DataFrame:
     """All pairs of groups: (group1, group2, mean_diff, lower, upper, p_adj, reject), the
     difference being second minus first. The pairs are the result itself; they are formed from
-    one row of moments per group."""
-    moments = group_moments(df, value, by)
+    one row of moments per group; more than ``max_groups`` groups are an error."""
+    moments = written(group_moments(df, value, by), "moments")
     pooled = moments.agg(
         (F.sum(F.coalesce(F.col("variance"), F.lit(0.0)) * (F.col("n") - 1)) / (F.sum("n") - F.count(F.lit(1)))).alias("mse"),
         (F.sum("n") - F.count(F.lit(1))).alias("df"),
         F.count(F.lit(1)).cast("double").alias("k"),
     )
+    if moments.limit(max_groups + 1).count() > max_groups:
+        raise ValueError(f"more than {max_groups} groups of {by}")
     one = moments.select(F.col("sample").alias("group1"), F.col("n").alias("na"), F.col("mean").alias("ma"))
     two = moments.select(F.col("sample").alias("group2"), F.col("n").alias("nb"), F.col("mean").alias("mb"))
     pairs = beside(one.join(two, F.col("group1") < F.col("group2")), pooled)
@@ -334,11 +337,15 @@ def kendall(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return ranks.kendall(df, pairs).withColumn("p_value", cdf.p_normal("z"))
 
 
-def _margins(df: DataFrame, a: str, b: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    cells = df.dropna(subset=[a, b]).groupBy(a, b).agg(F.count(F.lit(1)).alias("observed"))
-    rows = cells.groupBy(a).agg(F.sum("observed").alias("_row"))
-    columns = cells.groupBy(b).agg(F.sum("observed").alias("_column"))
-    return cells, rows, columns
+def _margins(df: DataFrame, a: str, b: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Cells, row sums, column sums and total of a contingency table, from one aggregate over grouping sets."""
+    rows = df.select(a, b).dropna()
+    sets = rows.groupingSets([[a, b], [a], [b], []], a, b)
+    found = written(sets.agg(F.count(F.lit(1)).alias("observed"), F.grouping_id().alias("_set")), "margins")
+    cells = found.filter("_set = 0").drop("_set")
+    row_sums = found.filter("_set = 1").select(a, F.col("observed").alias("_row"))
+    column_sums = found.filter("_set = 2").select(b, F.col("observed").alias("_column"))
+    return cells, row_sums, column_sums, found.filter("_set = 3").select(F.col("observed").alias("_n"))
 
 
 def chi_square(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFrame:
@@ -348,7 +355,7 @@ def chi_square(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFr
     sum(E) = n. In a 2x2 table every |O - E| is the same number, which the continuity
     correction shrinks by up to one half.
     """
-    cells, rows, columns = _margins(df, a, b)
+    cells, rows, columns, _ = _margins(df, a, b)
     inverse = F.sum(1.0 / F.col("_x"))
     row_side = rows.withColumnRenamed("_row", "_x").agg(
         F.count(F.lit(1)).alias("_rows"), inverse.alias("_inv_r"), F.sum("_x").cast("double").alias("_n")
@@ -373,18 +380,18 @@ def chi_square(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFr
     )
 
 
-def expected_counts(df: DataFrame, a: str, b: str) -> DataFrame:
-    """(a, b, observed, expected) for every combination of the levels seen: the full table is
-    the result, so this is for columns with few levels."""
-    cells, rows, columns = _margins(df, a, b)
-    total = rows.agg(F.sum("_row").alias("_n"))
-    levels = columns.agg(F.collect_list(F.struct(F.col(b), F.col("_column"))).alias("_levels"))
-    grid = (
-        beside(rows, total, levels)
-        .withColumn("_level", F.explode("_levels"))
-        .select(a, F.col(f"_level.{b}").alias(b), "_row", "_level._column", "_n")
-    )
-    return grid.join(cells, [a, b], "left").select(
+def expected_counts(df: DataFrame, a: str, b: str, max_levels: int = 1000) -> DataFrame:
+    """(a, b, observed, expected) for every combination of the levels seen. The full table is the result,
+    so more than ``max_levels`` levels of a column are an error."""
+    cells, rows, columns, total = _margins(df, a, b)
+    levels = [r[b] for r in columns.orderBy(b).limit(max_levels + 1).collect()]
+    if len(levels) > max_levels or rows.limit(max_levels + 1).count() > max_levels:
+        raise ValueError(f"more than {max_levels} levels of {a} or {b}")
+    if not levels:
+        return rows.select(a, F.lit(None).alias(b), F.col("_row").alias("observed"), F.lit(0.0).alias("expected")).limit(0)
+    kind = columns.schema[b].dataType
+    grid = beside(rows, total).withColumn(b, F.explode(F.array(*[F.lit(x).cast(kind) for x in levels])))
+    return join_dimension(join_dimension(grid, columns, b, "inner"), cells, [a, b]).select(
         a,
         b,
         F.coalesce("observed", F.lit(0)).alias("observed"),

@@ -379,7 +379,7 @@ def outside_thresholds(df: DataFrame, bounds: DataFrame, key: Sequence[str], mea
     pairs = ", ".join(f"'{m}', cast(`{m}` as double)" for m in measures)
     long = df.selectExpr(*[f"`{k}`" for k in key], f"stack({len(measures)}, {pairs}) as (metric, value)")
     return (
-        long.join(F.broadcast(bounds.select("metric", "min_value", "max_value")), "metric")
+        join_dimension(long, bounds.select("metric", "min_value", "max_value"), "metric", "inner")
         .filter((F.col("value") < F.col("min_value")) | (F.col("value") > F.col("max_value")))
         .select(*key, "metric", "value")
     )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Sequence
-from functools import reduce
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
@@ -202,11 +201,9 @@ def residual_summary(frame: DataFrame) -> DataFrame:
     )
 
 
-def compare(scores: dict[str, DataFrame]) -> DataFrame:
-    """Named metric rows under each other, best RMSE first."""
-    rows = [row.withColumn("model", F.lit(name)) for name, row in scores.items()]
-    united = reduce(DataFrame.unionByName, rows)
-    return united.select("model", "rmse", "mae", "r2", "mape").orderBy("rmse", "model")
+def compare(predictions: DataFrame) -> DataFrame:
+    """Metrics of each ``model`` in a table of (model, label, prediction), best RMSE first."""
+    return metrics(predictions, ["model"]).select("model", "rmse", "mae", "r2", "mape").orderBy("rmse", "model")
 
 
 def best(comparison: DataFrame) -> DataFrame:

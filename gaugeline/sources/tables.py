@@ -113,11 +113,10 @@ def replace_days(df: DataFrame, path: str, day: str) -> None:
     complete.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
 
 
-def query(spark: SparkSession, sql: str, **views: DataFrame) -> DataFrame:
-    """Run a SQL text over frames registered under the given names."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+def query(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
+    """Run a SQL text over frames that it names in braces: ``SELECT ... FROM {daily}``. The names hold for this
+    text alone."""
+    return spark.sql(sql, **frames)
 
 
 def scratch(spark: SparkSession, label: str) -> str:
