@@ -177,8 +177,9 @@ def full(body: str, **extra: str) -> str:
     """``body`` with every table expression it needs; ``extra`` adds local ones, in order."""
     text = " ".join([*extra.values(), body])
     parts = [f"{name} as materialized ({CTES[name]})" for name in needed(text)]
-    parts += [f"{name} as ({sql})" for name, sql in extra.items()]
-    return f"with {', '.join(parts)} {body}" if parts else body
+    parts += [f"{name} as {'materialized ' if name.startswith('m_') else ''}({sql})" for name, sql in extra.items()]
+    recursive = "recursive " if any(name in re.findall(r"[a-z_]+", sql) for name, sql in extra.items()) else ""
+    return f"with {recursive}{', '.join(parts)} {body}" if parts else body
 
 
 # -- tail probabilities by Simpson's rule, as scalar expressions over outer columns ------------
