@@ -314,7 +314,7 @@ def smaller_forests(rows: DataFrame, nodes: DataFrame, trees: Sequence[int], dep
 
 def forest_search(
     frame: DataFrame, columns: Sequence[str] = MODEL_FEATURES, trees: Sequence[int] = FOREST_GRID["trees"],
-    depths: Sequence[int] = FOREST_GRID["depth"], bounds: Sequence[int] | None = None, folds: int = 3, parallelism: int = 3,
+    depths: Sequence[int] = FOREST_GRID["depth"], bounds: Sequence[int] | None = None, folds: int = 3, parallelism: int = 4,
     partition_rows: int = 50_000, seed: int = 42,
 ) -> DataFrame:
     """(params, rmse) of every combination of trees, depth and leaf bound, best first: the mean over ``folds``
@@ -322,7 +322,8 @@ def forest_search(
 
     One forest is fitted for each fold and leaf bound, with the most trees and the greatest depth; all
     smaller ones are read from its nodes, so combinations share trees. A learner passes statistics of every
-    node between partitions, so the input has no more of them than its rows need.
+    node between partitions, so the input has no more of them than its rows need; a small one keeps one task
+    busy, and ``parallelism`` fits run beside each other, each with a bounded part of the memory.
     """
     spark = frame.sparkSession
     folded = written(time_blocks(frame, folds), "folds")
@@ -336,7 +337,7 @@ def forest_search(
         fold, bound = task
         parts = max(1, -(-(sum(sizes.values()) - sizes[fold]) // partition_rows))
         train, test = filled[fold].filter(F.col("fold") != fold), filled[fold].filter(F.col("fold") == fold)
-        forest = random_forest(trees[-1], depths[-1], 2 * bound, seed)
+        forest = random_forest(trees[-1], depths[-1], 2 * bound, seed).setMaxMemoryInMB(256)
         found = smaller_forests(assemble(test, columns), node_table(forest.fit(training_set(train, columns, parts))), trees, depths)
         errors = [F.avg((F.col("label") - F.get("predictions", F.lit(i))) ** 2) for i in range(len(grid))]
         return [(fold, n, d, bound, e**0.5) for (n, d), e in zip(grid, found.agg(*errors).first())]

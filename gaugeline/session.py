@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -32,7 +34,8 @@ def build_session(app: str = "gaugeline", master: str | None = None, **conf: str
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may go without it; there one temporary folder serves the process.
+    Only a local session may go without it; there one temporary folder serves the process and is removed
+    when it ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -42,6 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
     global _local_folder
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="gaugeline-")
+        atexit.register(shutil.rmtree, _local_folder, ignore_errors=True)
     return _local_folder
 
 
