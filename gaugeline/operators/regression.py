@@ -152,6 +152,76 @@ def gradient_boosting(rounds: int = 100, depth: int = 5, rate: float = 0.1, seed
     return GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed, checkpointInterval=10)
 
 
+# -- linear fits from moments ------------------------------------------------------------------
+
+
+def moments(frame: DataFrame, columns: Sequence[str] = MODEL_FEATURES, by: str | None = None) -> dict[int, np.ndarray]:
+    """Sums of products of (1, inputs, label) for each value of ``by`` (a small whole number), in one pass:
+    each task adds up its own rows, and only these matrices are shuffled. Inputs far from zero should be
+    standardised before, or digits of their variance are lost."""
+    ship(frame.sparkSession)
+    width = len(columns) + 2
+    group = F.lit(0) if by is None else F.col(by)
+    used = frame.select(group.cast("int").alias("g"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate([*columns, "label"])])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            groups = batch["g"].to_numpy()
+            rows = np.column_stack([np.ones(batch.num_rows), *[batch[f"x{i}"].to_numpy() for i in range(width - 1)]])
+            for g in np.unique(groups).tolist():
+                own = rows[groups == g]
+                sums[g] = sums.get(g, 0.0) + own.T @ own
+        for g, found in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([g] * width**2, pa.int32()), pa.array(range(width**2), pa.int32()), pa.array(found.ravel())], ["g", "at", "v"])
+
+    cells = used.mapInArrow(run, "g int, at int, v double").groupBy("g", "at").agg(F.sum("v").alias("v")).toArrow()
+    out: dict[int, np.ndarray] = {}
+    for g, at, v in zip(*(cells[c].to_pylist() for c in ("g", "at", "v"))):
+        out.setdefault(g, np.zeros(width**2))[at] = v
+    return {g: out[g].reshape(width, width) for g in sorted(out)}
+
+
+def solved(sums: np.ndarray, alpha: float = 0.0, least: float = 1e-12) -> tuple[float, np.ndarray]:
+    """Intercept and weights that minimise RSS + alpha |w|^2 on standardised inputs, w in units of these; from
+    the sums alone. Directions with no more than ``least`` of a standardised input's variance, as inputs that
+    determine each other leave them, get no weight."""
+    n = sums[0, 0]
+    mean = sums[0, 1:] / n
+    cross = sums[1:, 1:] - n * np.outer(mean, mean)
+    sd = np.sqrt(np.maximum(np.diag(cross)[:-1], 0.0) / n)
+    sd[sd <= 1e-12 * np.maximum(1.0, np.abs(mean[:-1]))] = 1.0
+    gram, right = cross[:-1, :-1] / np.outer(sd, sd), cross[:-1, -1] / sd
+    size, direction = np.linalg.eigh(gram)
+    kept = size > least * n
+    weights = direction[:, kept] @ ((direction[:, kept].T @ right) / (size[kept] + alpha)) / sd
+    return float(mean[-1] - mean[:-1] @ weights), weights
+
+
+def with_line(frame: DataFrame, intercept: float, weights: np.ndarray, columns: Sequence[str] = MODEL_FEATURES) -> DataFrame:
+    """Add ``prediction`` of a linear fit."""
+    terms = [F.col(c) * F.lit(float(w)) for c, w in zip(columns, weights)]
+    return frame.withColumn("prediction", sum(terms, F.lit(intercept)))
+
+
+def squared_error(sums: np.ndarray, intercept: float, weights: np.ndarray) -> float:
+    """Mean squared error of a linear fit over the rows that the sums hold."""
+    line = np.concatenate([[-intercept], -weights, [1.0]])
+    return float(max(0.0, line @ sums @ line) / sums[0, 0])
+
+
+def linear_cv(frame: DataFrame, columns: Sequence[str] = MODEL_FEATURES, splits: int = 5, alpha: float = 0.0) -> DataFrame:
+    """Train on everything before block k, test on block k: (fold, rmse) of linear fits. The data are read
+    once: sums of products add up over the blocks, and both the fit and its error follow from them."""
+    sums = moments(time_blocks(frame, splits + 1), columns, "fold")
+    rows, before = [], np.zeros((len(columns) + 2,) * 2)
+    for fold in range(splits + 1):
+        if fold and fold in sums and before[0, 0]:
+            rows.append((fold, squared_error(sums[fold], *solved(before, alpha)) ** 0.5))
+        before = before + sums.get(fold, 0.0)
+    return frame.sparkSession.createDataFrame(rows, "fold int, rmse double")
+
+
 # -- evaluation --------------------------------------------------------------------------------
 
 

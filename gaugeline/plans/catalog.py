@@ -1162,7 +1162,8 @@ def _(spark, sf):
 
 @query("K07_least_squares")
 def _(spark, sf):
-    return rg.metrics(_scored(spark, sf, lambda train: rg.least_squares(), scaled=True))
+    train, test = _split(spark, sf, scaled=True)
+    return rg.metrics(rg.with_line(test, *rg.solved(rg.moments(train)[0])))
 
 
 @query("K07_single_input_line")
@@ -1279,6 +1280,11 @@ def _(spark, sf):
     return blocks.groupBy("fold").agg(F.count(F.lit(1)).alias("records"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 
 
+@query("K18_linear_folds")
+def _(spark, sf):
+    return rg.linear_cv(_split(spark, sf, scaled=True)[0])
+
+
 @query("K18_expanding_cv")
 def _(spark, sf):
     train, _ = _split(spark, sf)

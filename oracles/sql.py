@@ -549,9 +549,10 @@ add("K07_single_input_line", "location_name, date d, label f, prediction f",
     """select location_name, date, avg_temperature as label, i + s * temp_rolling_7d_prev as prediction from parted,
        (select regr_slope(avg_temperature, temp_rolling_7d_prev) as s, regr_intercept(avg_temperature, temp_rolling_7d_prev) as i from parted where split = 'train') where split = 'test'""")
 for key, weights in (
-    ("K08_ridge", models.ridge(1.0)), ("K09_lasso", models.descent(0.1, 0.0)), ("K10_elastic_net", models.descent(0.05, 0.05)),
+    ("K07_least_squares", models.ridge(0.0, 1e-12)), ("K08_ridge", models.ridge(1.0)), ("K09_lasso", models.descent(0.1, 0.0)), ("K10_elastic_net", models.descent(0.05, 0.05)),
 ):
     add(key, METRICS, metric_sql(f"({models.PREDICTED})", "prediction"), **models.moments(), **weights)
+add("K18_linear_folds", "fold i, rmse f", models.FOLD_ERRORS, **models.fold_moments(), **models.ridge(0.0, 1e-12, "t,"))
 add("K14_metrics_by_site", f"location_name, {METRICS}", metric_sql("lfeatures", "temp_lag_1d", "location_name"))
 add("F06_best_baseline", "model",
     f"""select arg_min(model, rmse) as model from (select 'Mean Baseline' as model, rmse from ({metric_sql(f"(select * from {TEST} where split = 'test')", 'base')})

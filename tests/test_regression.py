@@ -164,3 +164,26 @@ def test_importances_are_ordered(data, spark):
     assert shares[-1].cumulative == pytest.approx(1.0) and shares[0].importance >= shares[1].importance
     reach = rg.features_to_reach(rg.importances(spark, model, COLUMNS)).first()
     assert 1 <= reach.n_90 <= reach.n_95 <= 3
+
+
+def test_fits_from_moments(data):
+    frame, z, y = data
+    x = np.array([[r.x0, r.x1, r.x2] for r in frame.orderBy("date", F.desc("location_name")).collect()])
+    intercept, weights = rg.solved(rg.moments(frame, COLUMNS)[0])
+    exact = np.linalg.lstsq(np.column_stack([np.ones(300), x]), y, rcond=None)[0]
+    assert [intercept, *weights] == pytest.approx(exact, abs=1e-8)
+    ridge = rg.solved(rg.moments(frame, COLUMNS)[0], alpha=25.0)[1] * x.std(0)
+    assert ridge == pytest.approx(np.linalg.solve(z.T @ z + 25.0 * np.eye(3), z.T @ (y - y.mean())), abs=1e-8)
+    again = frame.withColumn("x3", F.col("x0") - F.col("x2")).withColumn("x4", F.lit(2.0))  # determined by others, constant
+    twice = rg.with_line(again, *rg.solved(rg.moments(again, (*COLUMNS, "x3", "x4"))[0]), (*COLUMNS, "x3", "x4"))
+    once = rg.with_line(frame, intercept, weights, COLUMNS)
+    first, second = ([r.prediction for r in f.orderBy("date", "location_name").collect()] for f in (once, twice))
+    assert first == pytest.approx(second, abs=1e-7)
+
+
+def test_linear_folds_from_one_pass_equal_separate_fits(data):
+    frame = data[0]
+    found = {r.fold: r.rmse for r in rg.linear_cv(frame, COLUMNS).collect()}
+    apart = rg.expanding_cv(rg.assemble(frame, COLUMNS), {"line": rg.least_squares()})
+    assert found == pytest.approx({r.fold: r.rmse for r in apart.collect()}, abs=1e-6) and sorted(found) == [1, 2, 3, 4, 5]
+    assert rg.linear_cv(frame.limit(0), COLUMNS).count() == 0
