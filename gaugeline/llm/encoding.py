@@ -24,7 +24,7 @@ LETTER = table_of("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 MARK = PRINTABLE & ~LETTER & ~table_of("0123456789'|>")
 #: A worker remembers the pieces of its last texts, this many and at most twice as many with older
 #: ones (about 200 bytes each).
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 def pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
