@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.functions import cdf, labels
+from gaugeline.functions.association import correlation
 from gaugeline.functions.normal import normal_quantile, polynomial
 from gaugeline.operators import ranks
 from gaugeline.operators.dimensions import join_dimension
@@ -128,7 +129,7 @@ def qq_line(points: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.regr_slope("ordered", "theoretical").alias("slope"),
         F.regr_intercept("ordered", "theoretical").alias("intercept"),
-        F.corr("ordered", "theoretical").alias("r"),
+        correlation("ordered", "theoretical").alias("r"),
     )
 
 
@@ -314,7 +315,7 @@ def pearson(df: DataFrame, pairs: Sequence[tuple[str, str]], alpha: float = 0.05
     """All pairs in one pass: (variable_1, variable_2, n, r, p_value, significant, strength)."""
     aggregates, cells = [], []
     for i, (x, y) in enumerate(pairs):
-        aggregates += [F.corr(x, y).alias(f"r{i}"), F.regr_count(x, y).alias(f"n{i}")]
+        aggregates += [correlation(x, y).alias(f"r{i}"), F.regr_count(x, y).alias(f"n{i}")]
         cells.append(f"'{x}', '{y}', n{i}, r{i}")
     long = df.agg(*aggregates).selectExpr(f"stack({len(pairs)}, {', '.join(cells)}) as (variable_1, variable_2, n, r)")
     return with_t_probability(long, "r").withColumns(

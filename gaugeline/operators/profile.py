@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gaugeline.functions.association import correlation
 from gaugeline.operators.dimensions import join_dimension
 from gaugeline.operators.frames import beside, prefix_sums, with_positions
 from gaugeline.operators.quantiles import DISTINCT_LIMIT, quantiles, thresholds, wide
@@ -240,9 +241,9 @@ def box_summary(df: DataFrame, by: str, value: str, reach: float = 1.5, limit: i
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long matrix (variable_1, variable_2, correlation) in one pass. A row counts for a pair
-    when both its values are present."""
+    when both its values are present; ``functions.association`` tells what a constant column gives."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    row = df.agg(*[correlation(a, b).alias(f"{a}|{b}") for a, b in pairs])
     cells = []
     for a, b in pairs:
         cells.append(f"'{a}', '{b}', `{a}|{b}`")

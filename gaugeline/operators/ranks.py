@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeline.functions.association import ratio
 from gaugeline.operators.frames import beside, prefix_sums
 from gaugeline.session import written
 
@@ -90,7 +91,8 @@ def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     sums = ranked.groupBy("pair").agg(
         F.sum("c").alias("n"), *[F.sum(c * product).alias(name) for name, product in products.items()]
     )
-    rho = F.expr("(n * sxy - sx * sy) / sqrt((n * sxx - sx * sx) * (n * syy - sy * sy))")
+    spread = F.expr("sqrt((n * sxx - sx * sx) * (n * syy - sy * sy))")
+    rho = ratio(F.expr("n * sxy - sx * sy"), spread)
     return with_names(sums.select("pair", "n", rho.alias("rho")), pairs)
 
 
