@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from gaugeline.llm.texts import SPACE, bytes_of, ranges, table_of
+from gaugeline.llm.texts import SPACE, bytes_of, ranges, shared, table_of
 
 PRINTABLE = np.zeros(256, bool)
 PRINTABLE[33:127] = True
@@ -178,14 +178,11 @@ def merger_of(path: str):
     return merger, ends
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder_of(path: str) -> Encoder:
-    """One encoder for each file and Python worker."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    """One encoder for each file and Python worker, until the worker goes on to other work on texts."""
+    if path not in shared:
+        shared[path] = Encoder(path)
+    return shared[path]
 
 
 def with_end(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

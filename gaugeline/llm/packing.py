@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gaugeline.llm.encoding import encoder_of, with_end
-from gaugeline.llm.texts import batch_of, filled, pa_schema, ranges, slices
+from gaugeline.llm.texts import SLICE_BYTES, batch_of, filled, pa_schema, ranges, slices
 from gaugeline.session import written
 from gaugeline.ship import ship
 
@@ -167,7 +167,7 @@ def tokenised_pieces(docs: DataFrame, vocabulary: str, end_id: int, setting: Pac
 
         task, seen = TaskContext.get().partitionId(), np.zeros(setting.bins + 1, np.int64)
         encoder = encoder_of(vocabulary)
-        for part in slices(batches, "_text"):
+        for part in slices(batches, "_text", SLICE_BYTES // 2):  # the ids of a slice take several times its bytes
             ids, offsets = with_end(*encoder.encode(filled(part["_text"])), end_id)
             tokens = np.diff(offsets)
             n_pieces = -(-tokens // setting.window)

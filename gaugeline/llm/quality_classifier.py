@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.llm.quality_rules import CONTINUED, LOWER, SHOUT, SYMBOLS, UPPER, Rules, judge
-from gaugeline.llm.texts import SPACE, batch_of, bytes_of, filled, map_texts, pa_schema, sums, table_of
+from gaugeline.llm.texts import SMALL_SLICE, SPACE, batch_of, bytes_of, filled, map_texts, pa_schema, sums, table_of
 from gaugeline.session import written
 from gaugeline.ship import ship
 
@@ -116,7 +116,7 @@ def features(docs: DataFrame, key: str, text: str) -> DataFrame:
         return batch_of(_key=batch["_key"], x=pa.ListArray.from_arrays(pa.array(at), pa.array(x.ravel())))
 
     narrow = docs.select(docs[key].alias("_key"), docs[text].alias("_text"))
-    return map_texts(narrow, work, f"_key {kind}, x array<double>", "_text")
+    return map_texts(narrow, work, f"_key {kind}, x array<double>", "_text", SMALL_SLICE)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -215,4 +215,4 @@ def kept_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch.filter(pa.array(model.score(statistics(filled(batch[text]))) >= 0.5))
 
-    return map_texts(docs, work, docs.schema, text)
+    return map_texts(docs, work, docs.schema, text, SMALL_SLICE)
