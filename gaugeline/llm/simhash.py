@@ -390,6 +390,13 @@ def grouped(docs: DataFrame, setting: NearDup = NearDup(), key: str = "doc_id",
     )
 
 
+def text_groups(docs: DataFrame, setting: NearDup = NearDup(), text: str = "text") -> DataFrame:  # noqa: B008
+    """``text_hash`` and ``component_id`` (the smallest hash of a text reachable) of every row. The components
+    are those of ``grouped``, told apart where keys repeat or are null too."""
+    texts = docs.select(F.xxhash64(docs[text]).alias("_key"), docs[text].alias("_text"))
+    return grouped(texts, setting, "_key", "_text").select("text_hash", "component_id")
+
+
 def representatives(docs: DataFrame, setting: NearDup = NearDup(), key: str = "doc_id", text: str = "text") -> DataFrame:  # noqa: B008
     """One row of each component, with all its columns: that of the smallest key (nulls last, then
     by a hash of the text; of repeated rows one)."""
